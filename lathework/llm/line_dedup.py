@@ -185,7 +185,8 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
     pairs = docs.select(null_first(F.col(id).cast("long")).alias("id"), text).mapInArrow(suspected, "id long, key string")
     pairs = written(pairs.groupBy("id", "key").agg(F.lit(1).alias("one")).select("id", "key"), "line-suspects")
     confirmed = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
-    losses = pairs.join(confirmed.select("key", "keeper").hint("merge"), "key").where("id <> keeper").groupBy("id").agg(F.collect_list("key").alias("__lost")).withColumnRenamed("id", "__id")
+    confirmed = written(confirmed.select("key", "keeper"), "repeated-lines")  # so that the next join shuffles both sides and AQE can split a hot key
+    losses = pairs.join(confirmed.hint("merge"), "key").where("id <> keeper").groupBy("id").agg(F.collect_list("key").alias("__lost")).withColumnRenamed("id", "__id")
 
     def split(want: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
