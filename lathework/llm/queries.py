@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathework.llm.common import LOWER, UPPER, table
+from lathework.llm.decontaminate import contaminated, overlap
 from lathework.llm.line_dedup import drop_repeated_lines
+from lathework.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,5 +36,49 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-QUERIES: dict[str, Query] = {"op10_line_dedup": op10_line_dedup}
-ORACLES: dict[str, str] = {"op10_line_dedup": OP10_SQL}
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = overlap(docs, table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), listed, contaminated().alias("contaminated"))
+
+
+OP7_SQL = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS g
+  FROM (SELECT *, least(len(w), 13) AS size, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM win
+), dw AS (
+  SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS g
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)
+), hit AS (
+  SELECT doc_id, i, win.size, item_id FROM dw JOIN win ON dw.size = win.size AND dw.g = win.g
+), n AS (
+  SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS at FROM hit) GROUP BY doc_id
+), it AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+QUERIES: dict[str, Query] = {
+    "op5_url_filter": op5_url_filter,
+    "op7_decontamination": op7_decontamination,
+    "op10_line_dedup": op10_line_dedup,
+}
+ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL, "op10_line_dedup": OP10_SQL}
