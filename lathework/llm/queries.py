@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from lathework.llm.common import LOWER, UPPER, table
 from lathework.llm.decontaminate import contaminated, overlap
 from lathework.llm.line_dedup import drop_repeated_lines
+from lathework.llm.quality import score_quality, training_rows
 from lathework.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (~training_rows("doc_id", 5, 0)).alias("held_out"), "score", "predicted")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -59,7 +66,7 @@ WITH d AS (
 ), hit AS (
   SELECT doc_id, i, win.size, item_id FROM dw JOIN win ON dw.size = win.size AND dw.g = win.g
 ), n AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS at FROM hit) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS pos FROM hit) GROUP BY doc_id
 ), it AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY doc_id
 )
@@ -77,6 +84,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op5_url_filter": op5_url_filter,
     "op7_decontamination": op7_decontamination,
     "op10_line_dedup": op10_line_dedup,
