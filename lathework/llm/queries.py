@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lathework.llm.common import LOWER, UPPER, table
 from lathework.llm.decontaminate import contaminated, overlap
 from lathework.llm.line_dedup import drop_repeated_lines
+from lathework.llm.packing import pack
 from lathework.llm.quality import score_quality, training_rows
 from lathework.llm.url_filter import judge_urls
 
@@ -22,6 +23,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~training_rows("doc_id", 5, 0)).alias("held_out"), "score", "predicted")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -48,7 +55,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = overlap(docs, table(spark, sf_dir, "benchmark"))
     listed = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
-    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), listed, contaminated().alias("contaminated"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), listed, contaminated().alias("contaminated"))
 
 
 OP7_SQL = f"""
@@ -85,6 +92,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op3_packing": op3_packing,
     "op5_url_filter": op5_url_filter,
     "op7_decontamination": op7_decontamination,
     "op10_line_dedup": op10_line_dedup,
