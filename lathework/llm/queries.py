@@ -12,6 +12,7 @@ from lathework.llm.decontaminate import contaminated, overlap
 from lathework.llm.line_dedup import drop_repeated_lines
 from lathework.llm.packing import pack
 from lathework.llm.quality import score_quality, training_rows
+from lathework.llm.simhash import simhash_groups
 from lathework.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -94,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_packing": op3_packing,
     "op5_url_filter": op5_url_filter,
+    "op6_simhash_neardup": op6_simhash_neardup,
     "op7_decontamination": op7_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
