@@ -8,7 +8,7 @@ at most `block` rows, each of at most 2 * width words, so a larger benchmark mea
 
 Defined results: null or wordless texts have no words and are never hit. Rows that share an id and a text are judged
 alike, rows that share only the id are judged each by its own text. Items without an id mark words as hit but are not
-listed. Input columns named n_words, n_hit or item_ids are replaced. Empty tables give no hits.
+listed. Columns beside id and text are not looked at, whatever their names. Empty tables give no hits.
 """
 
 from __future__ import annotations
@@ -21,17 +21,21 @@ from pyspark.sql import functions as F
 from lathework.llm.common import ascii_lower, written
 
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+END = "."
 
 
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BREAK), "")
 
 
-def same_start(a: Column, b: Column) -> Column:
-    """How many leading elements two arrays share."""
-    first_odd = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
-    return F.when(first_odd > 0, first_odd - 1).otherwise(F.size(a))
+def run_length(words: Column, at: Column, step: int, other: Column, most: int) -> Column:
+    """How many words next to position `at` (from 0) equal `other` (nearest first); a chain of CASE branches, which
+    unlike array functions with lambdas keeps the join that tests it inside generated code."""
+    out = F.lit(most)
+    for i in range(most, 0, -1):
+        same = F.coalesce(F.get(words, at + step * i) == F.get(other, F.lit(i - 1)), F.lit(False))
+        out = F.when(~same, F.lit(i - 1)).otherwise(out)
+    return out
 
 
 def blocks(df: DataFrame, rows: int, *key: str) -> list[DataFrame]:
@@ -48,55 +52,67 @@ def prefixes(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_te
     token = token.select("item_id", "w", "size", "start", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)).alias("at"))
     token = token.withColumn("word", F.element_at("w", F.col("at")))
     vocabulary = written(token.select("word").distinct(), "prefix-words")
-    said = docs.select(F.explode(words_of(F.col(text))).alias("word"))
+    said = docs.select(F.explode_outer(words_of(F.col(text))).alias("word"))  # outer: else Spark splits the texts again to test for words
     counts = [said.join(F.broadcast(b), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n")) for b in blocks(vocabulary, block, "word")]
     token = token.join(reduce(DataFrame.unionByName, counts), "word", "left")
     rarest = token.groupBy("item_id", "w", "size", "start").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("p"))
     out = rarest.select("item_id", "w", "size", F.col("p.at").alias("at"), F.col("p.word").alias("word")).distinct()
     reach = F.least(F.col("at") - 1, F.lit(width - 1))
-    return out.select("item_id", "size", "word", F.reverse(F.slice("w", F.col("at") - reach, reach)).alias("left"), F.slice("w", F.col("at") + 1, width - 1).alias("right"))
+    left = F.when(reach > 0, F.reverse(F.slice("w", F.greatest(F.col("at") - reach, F.lit(1)), reach))).otherwise(F.array().cast("array<string>"))
+    return out.select("item_id", "size", "word", left.alias("left"), F.slice("w", F.col("at") + 1, width - 1).alias("right"))
 
 
 def matches(docs: DataFrame, prefix: DataFrame, text: str, width: int, block: int) -> DataFrame:
-    """Rows (key columns of docs, item_id, first, last) for runs of document words that hold a whole window."""
-    keys = [c for c in docs.columns if c != text]
-    half = width // 2
-    said = docs.select(*keys, words_of(F.col(text)).alias("words")).select(*keys, "words", F.posexplode("words").alias("p", "word")).withColumn("p", F.col("p") + 1)
-
-    def side(name: str) -> Column:
-        return F.when(F.size(name) >= half, F.slice(name, 1, half))
+    """Rows (key columns of docs, item_id, first, last) for runs of document words that hold a whole window.
 
+    A mark that is no word closes each text; its row, with first = -1 and last = number of words, stands for the text.
+    """
+    keys = [c for c in docs.columns if c != text]
+    said = docs.select(*keys, F.concat(words_of(F.col(text)), F.array(F.lit(END))).alias("words")).select(*keys, "words", F.posexplode_outer("words").alias("p", "word"))
+    end = docs.sparkSession.range(1).select(F.lit(None).cast("string").alias("item_id"), F.lit(0).alias("size"), F.lit(END).alias("word"), F.array().cast("array<string>").alias("left"), F.array().cast("array<string>").alias("right"))
     found = []
-    for part in blocks(prefix, block, "word"):
-        part = part.select("item_id", "size", "left", "right", F.col("word").alias("word_"), side("left").alias("near_left"), side("right").alias("near_right"))
-        back = F.reverse(F.when(F.col("p") > half, F.slice("words", F.greatest(F.col("p") - half, F.lit(1)), half)))
-        close = (back == F.col("near_left")) | (F.slice("words", F.col("p") + 1, half) == F.col("near_right")) | (F.col("size") < width)
-        hit = said.join(F.broadcast(part), (F.col("word") == F.col("word_")) & close)
-        reach = F.least(F.size("left"), F.col("p") - 1)
-        hit = hit.withColumn("l", same_start(F.slice("left", 1, reach), F.reverse(F.slice("words", F.col("p") - reach, reach))))
-        hit = hit.withColumn("r", same_start(F.col("right"), F.slice("words", F.col("p") + 1, F.size("right"))))
-        hit = hit.where(F.col("l") + F.col("r") + 1 >= F.col("size"))
-        found.append(hit.select(*keys, "item_id", (F.col("p") - F.col("l")).alias("first"), (F.col("p") + F.col("r")).alias("last")))
+    for i, part in enumerate(blocks(prefix, block, "word")):
+        part = (part if i else part.unionByName(end)).withColumnRenamed("word", "word_")
+        left = run_length(F.col("words"), F.col("p"), -1, F.col("left"), width - 1)
+        right = run_length(F.col("words"), F.col("p"), 1, F.col("right"), width - 1)
+        hit = said.join(F.broadcast(part), (F.col("word") == F.col("word_")) & ((F.col("size") == 0) | (left + right + 1 >= F.col("size"))))
+        of_text = F.col("size") == 0
+        found.append(hit.select(*keys, "item_id", F.when(of_text, -1).otherwise(F.col("p") - left).alias("first"), F.when(of_text, F.col("p")).otherwise(F.col("p") + right).alias("last")))
     return reduce(DataFrame.unionByName, found)
 
 
 def overlap(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 13, block: int = 20_000) -> DataFrame:
-    """docs with n_words, n_hit (words inside windows of items) and item_ids (sorted ids of items with windows here)."""
-    docs = docs.drop("n_words", "n_hit", "item_ids")
-    own = [F.col(id).alias("__id"), F.xxhash64(text).alias("__hash"), F.coalesce(F.length(text), F.lit(-1)).alias("__length")]
-    key = ["__id", "__hash", "__length"]
+    """One row for each row of docs: id, text_hash, n_chars, n_words, n_hit (words inside windows of items), item_ids
+    (sorted ids of items with windows here)."""
     prefix = written(prefixes(docs, items, text, item_id, item_text, width, block), "prefixes")
-    spans = matches(docs.select(*own, text), prefix, text, width, block)
+    spans = matches(docs.select(F.col(id).alias("id"), *text_key(text), text), prefix, text, width, block)
+    of_text = F.col("first") < 0
+    by_doc = spans.groupBy("id", "text_hash", "n_chars").agg(
+        F.count_if(of_text).alias("copies"),
+        F.max(F.when(of_text, F.col("last"))).cast("long").alias("n_words"),
+        F.collect_set(F.when(~of_text, F.struct("first", "last"))).alias("spans"),
+        F.array_sort(F.collect_set("item_id")).alias("item_ids"),
+    )
     merged = F.aggregate(
         F.array_sort("spans"),
-        F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n")),
+        F.struct(F.lit(-1).alias("end"), F.lit(0).alias("n")),
         lambda a, x: F.struct(F.greatest(a["end"], x["last"]).alias("end"), (a["n"] + F.greatest(F.lit(0), x["last"] - F.greatest(x["first"] - 1, a["end"]))).alias("n")),
     )["n"]
-    by_doc = spans.groupBy(*key).agg(F.collect_set(F.struct("first", "last")).alias("spans"), F.array_sort(F.collect_set("item_id")).alias("item_ids"))
-    by_doc = by_doc.select(F.struct(*key).alias("__key"), merged.alias("n_hit"), "item_ids")
-    left = docs.withColumn("n_words", F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")).withColumn("__key", F.struct(*own))
-    joined = left.join(by_doc, left["__key"].eqNullSafe(by_doc["__key"]), "left").drop("__key")
-    return joined.withColumns({"n_hit": F.coalesce("n_hit", F.lit(0).cast("long")), "item_ids": F.coalesce("item_ids", F.array().cast("array<string>"))})
+    by_doc = by_doc.withColumn("n_hit", merged.cast("long"))
+    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return by_doc.select("id", "text_hash", "n_chars", "n_words", "n_hit", "item_ids", each.alias("copy")).drop("copy")
+
+
+def text_key(text: str) -> list[Column]:
+    return [F.xxhash64(text).alias("text_hash"), F.coalesce(F.length(text), F.lit(-1)).alias("n_chars")]
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """docs without those that are contaminated, with their columns."""
+    bad = overlap(docs, items, id, text, **options).where(contaminated())
+    bad = written(bad.select(F.struct("id", "text_hash", "n_chars").alias("__bad")).distinct(), "contaminated")
+    key = F.struct(F.col(id).alias("id"), *text_key(text))
+    return docs.join(bad, key.eqNullSafe(F.col("__bad")), "left_anti")
 
 
 def contaminated() -> Column:
