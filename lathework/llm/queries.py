@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from lathework.llm.common import LOWER, UPPER, table
 from lathework.llm.decontaminate import contaminated, overlap
+from lathework.llm.hamming import top_k
 from lathework.llm.line_dedup import drop_repeated_lines
 from lathework.llm.packing import pack
+from lathework.llm.pii import find_pii
 from lathework.llm.quality import score_quality, training_rows
 from lathework.llm.simhash import simhash_groups
 from lathework.llm.url_filter import judge_urls
@@ -24,6 +26,23 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~training_rows("doc_id", 5, 0)).alias("held_out"), "score", "predicted")
 
 
+def op2_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+OP2_SQL = """
+WITH c AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS bits FROM embeddings),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS neighbor_id,
+         len(list_filter(list_zip(q.bits, r.bits), lambda z: z[1] <> z[2])) AS distance
+  FROM c q, c r WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM pairs
+)
+SELECT query_id, rank, neighbor_id, distance FROM ranked WHERE rank <= 10
+"""
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -35,6 +54,12 @@ def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, spans = F.array_join("base_spans", ","), F.array_join("spans", ",")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -98,10 +123,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_hamming_topk": op2_hamming_topk,
     "op3_packing": op3_packing,
     "op5_url_filter": op5_url_filter,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_decontamination": op7_decontamination,
+    "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL, "op10_line_dedup": OP10_SQL}
+ORACLES: dict[str, str] = {"op2_hamming_topk": OP2_SQL, "op7_decontamination": OP7_SQL, "op10_line_dedup": OP10_SQL}
