@@ -54,7 +54,8 @@ def prefixes(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_te
     vocabulary = written(token.select("word").distinct(), "prefix-words")
     said = docs.select(F.explode_outer(words_of(F.col(text))).alias("word"))  # outer: else Spark splits the texts again to test for words
     counts = [said.join(F.broadcast(b), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n")) for b in blocks(vocabulary, block, "word")]
-    token = token.join(reduce(DataFrame.unionByName, counts), "word", "left")
+    counted = written(reduce(DataFrame.unionByName, counts), "prefix-counts")  # so that AQE can split a hot word in the join
+    token = token.join(counted, "word", "left")
     rarest = token.groupBy("item_id", "w", "size", "start").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("p"))
     out = rarest.select("item_id", "w", "size", F.col("p.at").alias("at"), F.col("p.word").alias("word")).distinct()
     reach = F.least(F.col("at") - 1, F.lit(width - 1))
