@@ -112,6 +112,10 @@ def proposed(kind: str, text: Column) -> Column:
     return F.when(there, dressed).otherwise(F.array().cast("array<struct<kind:string,start:int,stop:int,s:string,before:string,after:string>>"))
 
 
+def listed(kind: str, spans: Column) -> Column:
+    return F.transform(spans, lambda x: F.concat_ws(":", F.lit(kind), x["start"], x["stop"]))
+
+
 def bucket(value: Column, cuts: list[int]) -> Column:
     out = F.lit(len(cuts))
     for i in range(len(cuts) - 1, -1, -1):
@@ -192,7 +196,7 @@ def find_pii(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
             good = F.transform(good, lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop")))
             new = F.filter(good, lambda c: ~F.exists("__base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
             own = F.array_sort(F.concat(own, new))
-        kinds.append(F.transform(own, lambda x, k=kind: F.concat_ws(":", F.lit(k), x["start"], x["stop"])))
-    base = F.concat(*(F.transform(f"__{k}", lambda x, k=k: F.concat_ws(":", F.lit(k), x["start"], x["stop"])) for k in PATTERNS))
+        kinds.append(listed(kind, own))
+    base = F.concat(*(listed(k, F.col(f"__{k}")) for k in PATTERNS))
     counts = {f"n_{k}": F.size(f"__{k}").cast("long") for k in PATTERNS}
     return found.withColumns({**counts, "base_spans": base, "spans": F.concat(*kinds)}).drop("__base", *(f"__{k}" for k in PATTERNS))
