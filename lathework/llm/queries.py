@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lathework.llm.common import LOWER, UPPER, table
 from lathework.llm.decontaminate import contaminated, overlap
 from lathework.llm.hamming import top_k
+from lathework.llm.katz import score_katz
 from lathework.llm.line_dedup import drop_repeated_lines
 from lathework.llm.packing import pack
 from lathework.llm.pii import find_pii
@@ -60,6 +61,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(base, 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op4_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_katz(table(spark, sf_dir, "documents"), training_rows("doc_id", 7, 2))
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_repeated_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -125,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_hamming_topk": op2_hamming_topk,
     "op3_packing": op3_packing,
+    "op4_katz_lm": op4_katz_lm,
     "op5_url_filter": op5_url_filter,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_decontamination": op7_decontamination,
