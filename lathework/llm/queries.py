@@ -15,6 +15,7 @@ from lathework.llm.line_dedup import drop_repeated_lines
 from lathework.llm.packing import pack
 from lathework.llm.pii import find_pii
 from lathework.llm.quality import score_quality, training_rows
+from lathework.llm.repeats import drop_repeats
 from lathework.llm.simhash import simhash_groups
 from lathework.llm.url_filter import judge_urls
 
@@ -55,6 +56,10 @@ def op6_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base, spans = F.array_join("base_spans", ","), F.array_join("spans", ",")
@@ -135,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_filter": op5_url_filter,
     "op6_simhash_neardup": op6_simhash_neardup,
     "op7_decontamination": op7_decontamination,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
 }
