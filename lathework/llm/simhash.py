@@ -1,8 +1,8 @@
 """SimHash fingerprints and their links, found with vantage-point trees.
 
-Fingerprints within `radius` bits differ by at most radius // 2 bits in one of their halves, so there is a tree for
-either half; each is responsible for the pairs that are that close in its half. A node holds a vantage point, a mask
-(the half, or all bits) and a distance mu. Fingerprints at most mu away go inside, those beyond mu outside; by the
+Fingerprints within `radius` bits differ by at most one bit in one of (radius + 1) / 2 parts, so there is a tree for
+every part; each is responsible for the pairs that are that close in its part. A node holds a vantage point, a mask
+(the part, or all bits) and a distance mu. Fingerprints at most mu away go inside, those beyond mu outside; by the
 triangle bound, a partner of an inside fingerprint lies at most mu + r away (r: the radius under that mask), so
 fingerprints up to mu + r also go inside as queries. No pair is missed. The tops of the trees are built from a bounded
 sample of distinct fingerprints and broadcast; every leaf is a shard, in which the trees grow on until few
@@ -15,7 +15,8 @@ component of their fingerprint. Columns beside id and text are not looked at. Em
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +25,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import partitions, written
+from lathework.llm.common import null_first, partitions, written
 from lathework.llm.components import components
 
-FULL, HALVES = np.uint64(2**64 - 1), (np.uint64(2**32 - 1), np.uint64((2**64 - 1) ^ (2**32 - 1)))
+FULL = np.uint64(2**64 - 1)
 FEW = 192
 
 
+def masks(radius: int) -> list[np.uint64]:
+    """Parts of a fingerprint: two within the radius differ by at most one bit in at least one part."""
+    parts = (radius + 2) // 2
+    cuts = [64 * i // parts for i in range(parts + 1)]
+    return [np.uint64((1 << z) - (1 << a)) for a, z in zip(cuts, cuts[1:], strict=False)]
+
+
 def shingles(text: bytes | None, words: int) -> list[bytes]:
     """Space-joined runs of words, repeats included; of a shorter text all words together."""
     w = (text or b"").lower().split()
@@ -76,12 +84,12 @@ class Node:
         return d <= self.mu + self.reach, d > self.mu
 
 
-def best_node(fps: np.ndarray, half: np.uint64, radius: int, rng: np.random.Generator, tries: int = 6) -> Node | None:
+def best_node(fps: np.ndarray, part: np.uint64, radius: int, rng: np.random.Generator, tries: int = 6) -> Node | None:
     """The split that leaves the fewest comparisons, or None if none leaves clearly fewer."""
     probe = fps if len(fps) <= 2048 else fps[rng.choice(len(fps), 2048, replace=False)]
     best, least = None, 0.85
     for vantage in probe[rng.choice(len(probe), min(tries, len(probe)), replace=False)]:
-        for mask, reach in ((half, radius // 2), (FULL, radius)):
+        for mask, reach in ((part, 1), (FULL, radius)):
             d = np.bitwise_count((probe ^ vantage) & mask)
             upto = np.cumsum(np.bincount(d, minlength=72)) / len(probe)
             for mu in range(64):
@@ -91,36 +99,36 @@ def best_node(fps: np.ndarray, half: np.uint64, radius: int, rng: np.random.Gene
     return best
 
 
-def top_tree(sample: np.ndarray, half: np.uint64, radius: int, total: int, leaf: int) -> tuple[Node | int, int]:
+def top_tree(sample: np.ndarray, part: np.uint64, radius: int, total: int, leaf: int) -> tuple[Node | int, int]:
     """A tree whose leaves hold about `leaf` of `total` fingerprints, and the number of its leaves."""
     rng, leaves = np.random.default_rng(7), 0
 
-    def grow(part: np.ndarray, depth: int) -> Node | int:
+    def grow(own: np.ndarray, depth: int) -> Node | int:
         nonlocal leaves
-        node = best_node(part, half, radius, rng) if len(part) * total > leaf * len(sample) and len(part) >= 16 and depth < 40 else None
+        node = best_node(own, part, radius, rng) if len(own) * total > leaf * len(sample) and len(own) >= 16 and depth < 40 else None
         if node is None:
             leaves += 1
             return leaves - 1
-        inside, outside = node.sides(part)
-        node.inside, node.outside = grow(part[inside], depth + 1), grow(part[outside], depth + 1)
+        inside, outside = node.sides(own)
+        node.inside, node.outside = grow(own[inside], depth + 1), grow(own[outside], depth + 1)
         return node
 
     return grow(sample, 0), leaves
 
 
-def route(tree: Node | int, fps: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Leaves and the fingerprints that belong there."""
-    if not len(fps):
+def route(tree: Node | int, fps: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Leaves and the fingerprints (their places in fps) that belong there."""
+    if not len(at):
         return
     if isinstance(tree, int):
-        yield tree, fps
+        yield tree, at
         return
-    inside, outside = tree.sides(fps)
-    yield from route(tree.inside, fps[inside])
-    yield from route(tree.outside, fps[outside])
+    inside, outside = tree.sides(fps[at])
+    yield from route(tree.inside, fps, at[inside])
+    yield from route(tree.outside, fps, at[outside])
 
 
-def links(fps: np.ndarray, half: np.uint64, radius: int, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def links(fps: np.ndarray, part: np.uint64, radius: int, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links from fingerprints to representatives that connect all pairs within the radius that this tree is for."""
     if len(fps) < 2:
         return
@@ -137,12 +145,12 @@ def links(fps: np.ndarray, half: np.uint64, radius: int, rng: np.random.Generato
         moved = label != np.arange(len(fps))
         yield fps[moved], fps[label[moved]]
         return
-    node = best_node(fps, half, radius, rng)
+    node = best_node(fps, part, radius, rng)
     if node is not None:
         inside, outside = node.sides(fps)
         if max(inside.sum(), outside.sum()) < 0.97 * len(fps):
-            yield from links(fps[inside], half, radius, rng)
-            yield from links(fps[outside], half, radius, rng)
+            yield from links(fps[inside], part, radius, rng)
+            yield from links(fps[outside], part, radius, rng)
             return
     rest, queue = fps, []  # a tight group: walk it, each fingerprint once
     while len(rest) or queue:
@@ -159,45 +167,59 @@ def links(fps: np.ndarray, half: np.uint64, radius: int, rng: np.random.Generato
             queue += [(x, root) for x in found]
 
 
-def close_pairs(distinct: DataFrame, column: str, radius: int = 3, leaf: int = 4096, sample: int = 8192) -> DataFrame:
-    """(u, v): links between distinct fingerprints within the radius, enough to connect every group."""
-    spark = distinct.sparkSession
-    fps = distinct.select(F.col(column).alias("fp"))
-    total = fps.count()
-    taken = np.array([r.fp for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()], np.int64).view(np.uint64)
-    grown = [top_tree(taken, half, radius, total, leaf) if total else (0, 1) for half in HALVES]
+Search = Callable[[np.ndarray, np.uint64, int, np.random.Generator], Iterator[tuple[np.ndarray, np.ndarray]]]
+
+
+def distinct_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for u, v in links(np.unique(rows[:, 0]), part, radius, rng):
+        yield u, v
+
+
+def search_shards(rows: DataFrame, columns: list[str], radius: int, search: Search, leaf: int = 4096, sample: int = 8192) -> DataFrame:
+    """(u, v): what `search` finds in the shards of the trees over the first of the (long) columns."""
+    spark = rows.sparkSession
+    rows = rows.select(*columns)
+    total = rows.count()
+    taken = np.array([r[0] for r in rows.select(columns[0]).orderBy(F.xxhash64(columns[0]), columns[0]).limit(sample).collect()], np.int64).view(np.uint64)
+    parts = masks(radius)
+    grown = [top_tree(taken, part, radius, total, leaf) if total else (0, 1) for part in parts]
     trees = spark.sparkContext.broadcast([t for t, _ in grown])
-    first = [0, grown[0][1]]
+    first = np.cumsum([0, *(n for _, n in grown)]).tolist()
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = np.asarray(batch.column(0)).astype(np.int64).view(np.uint64)
+            own = np.stack([np.asarray(c).astype(np.int64).view(np.uint64) for c in batch.columns], 1)
             for t, tree in enumerate(trees.value):
-                for shard, part in route(tree, own):
-                    yield pa.RecordBatch.from_arrays([pa.array([first[t] + shard], pa.int64()), pa.array([t], pa.int64()), pa.array([part.tobytes()], pa.binary())], ["shard", "tree", "fps"])
+                for shard, at in route(tree, own[:, 0], np.arange(len(own))):
+                    yield pa.RecordBatch.from_arrays([pa.array([first[t] + shard], pa.int64()), pa.array([t], pa.int64()), pa.array([own[at].tobytes()], pa.binary())], ["shard", "tree", "data"])
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(tree: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            found = list(links(np.unique(np.concatenate(parts)), HALVES[tree], radius, np.random.default_rng(7)))
+        def close(tree: int, blobs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            found = list(search(np.concatenate(blobs), parts[tree], radius, np.random.default_rng(7)))
             if found:
                 u, v = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-        shard, tree, parts = None, 0, []
+        shard, tree, blobs = None, 0, []
         for batch in batches:
             for s, t, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if s != shard:
-                    if parts:
-                        yield from close(tree, parts)
-                    shard, tree, parts = s, t, []
-                parts.append(np.frombuffer(data, np.uint64))
-        if parts:
-            yield from close(tree, parts)
-
-    dealt = fps.mapInArrow(sent, "shard long, tree long, fps binary").repartition(partitions(spark), "shard").sortWithinPartitions("shard")
+                    if blobs:
+                        yield from close(tree, blobs)
+                    shard, tree, blobs = s, t, []
+                blobs.append(np.frombuffer(data, np.uint64).reshape(-1, len(columns)))
+        if blobs:
+            yield from close(tree, blobs)
+
+    dealt = rows.mapInArrow(sent, "shard long, tree long, data binary").repartition(partitions(spark), "shard").sortWithinPartitions("shard")
     return dealt.mapInArrow(searched, "u long, v long")
 
 
+def close_pairs(distinct: DataFrame, column: str, radius: int = 3) -> DataFrame:
+    """(u, v): links between distinct fingerprints within the radius, enough to connect every group."""
+    return search_shards(distinct, [column], radius, distinct_links)
+
+
 def component_of_fingerprint(prints: DataFrame, radius: int) -> DataFrame:
     """(fp, component_id) for every distinct fp of prints (id, fp)."""
     classes = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")
@@ -212,3 +234,114 @@ def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", word
     """(id, fp, component_id): a row for each row of docs; component_id is the smallest id that links reach."""
     prints = written(fingerprints(docs, id, text, words).withColumnRenamed("fp0", "fp"), "fingerprints")
     return prints.join(component_of_fingerprint(prints, radius), "fp").select(F.col("id").alias(id), "fp", "component_id")
+
+
+# Near duplicates by similarity of texts
+
+
+def sketch(text: bytes | None, words: int) -> tuple[int, int, bytes, np.ndarray]:
+    """Fingerprint of the words (weights: roots of counts), of the shingles, key of the words, hashes of the shingles."""
+    w = (text or b"").lower().split()
+    counts = Counter(w)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
+    weight = np.sqrt(np.fromiter(counts.values(), float, len(counts)))
+    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    by_words = int(np.packbits(2 * (weight @ bits) > weight.sum(), bitorder="little").view(np.uint64)[0]) if len(h) else 0
+    grams = shingles(text, words)
+    hashes = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, len(grams)))
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    by_grams = int(np.packbits(2 * bits > len(hashes), bitorder="little").view(np.uint64)[0])
+    return by_words, by_grams, xxhash.xxh3_128_digest(b" ".join(w)), hashes
+
+
+def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random.Generator, shingle_radius: int = 19, best: int = 3) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidates (ids) among rows of (word fingerprint, shingle fingerprint, id). In crowds, where nearly all are
+    near, each links to the `best` by shingle fingerprint of those before it or of a set of pivots."""
+    if len(rows) < 2:
+        return
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Shingle distances, or 64 and more where either distance is too large."""
+        d = np.bitwise_count(a[:, None, 1] ^ b[None, :, 1]).astype(np.int16)
+        far = (np.bitwise_count(a[:, None, 0] ^ b[None, :, 0]) > radius) | (d > shingle_radius)
+        return np.where(far, np.int16(99), d)
+
+    def nearest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        top = np.argsort(d, axis=1, kind="stable")[:, :best]
+        i, j = np.nonzero(np.take_along_axis(d, top, 1) < 64)
+        yield a[i, 2], b[top[i, j], 2]
+
+    if len(rows) <= FEW:
+        d = near(rows, rows)
+        d[np.triu_indices(len(rows))] = 99
+        i, j = np.nonzero(d < 64)
+        if len(i) > 6 * len(rows):
+            yield from nearest(rows, rows, d)
+        elif len(i):
+            yield rows[i, 2], rows[j, 2]
+        return
+    node = best_node(rows[:, 0], part, radius, rng)
+    if node is not None:
+        inside, outside = node.sides(rows[:, 0])
+        if max(inside.sum(), outside.sum()) < 0.97 * len(rows):
+            yield from similar_links(rows[inside], part, radius, rng, shingle_radius, best)
+            yield from similar_links(rows[outside], part, radius, rng, shingle_radius, best)
+            return
+    while len(rows) > 1:
+        pivots, rest = rows[:FEW], rows[FEW:]
+        yield from similar_links(pivots, part, radius, rng, shingle_radius, best)
+        d = near(rest, pivots)
+        yield from nearest(rest, pivots, d)
+        rows = rest[d.min(1) >= 64] if len(rest) else rest
+
+
+def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 7) -> DataFrame:
+    """(id, text_hash, group): group is the smallest id reached by links of at least this Jaccard similarity of
+    distinct word shingles. Equal word sequences are one class. Candidates are classes whose word fingerprints are
+    within the radius (found through the trees) and whose shingle fingerprints are near; every one is verified."""
+    source = docs.select(null_first(F.col(id).cast("long")).alias("id"), F.xxhash64(text).alias("text_hash"), text)
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sketch(x.as_py(), words) for x in batch.column(2).cast(pa.binary())]
+            fps = np.array([f[:2] for f in found], np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps[:, 0]), pa.array(fps[:, 1]), pa.array([f[2] for f in found], pa.binary())], ["id", "text_hash", "fp", "gram_fp", "key"])
+
+    rows = written(source.mapInArrow(sketched, "id long, text_hash long, fp long, gram_fp long, key binary"), "sketches")
+    classes = written(rows.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("m"), F.min("fp").alias("fp"), F.min("gram_fp").alias("gram_fp")).select("key", F.col("m.id").alias("rep"), F.col("m.text_hash").alias("rep_hash"), "fp", "gram_fp"), "classes")
+    found = search_shards(classes.withColumn("node", F.xxhash64("key")), ["fp", "gram_fp", "node"], radius, similar_links)
+    pairs = written(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "candidates")
+    named = classes.select(F.xxhash64("key").alias("node"), "rep", "rep_hash")
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named, "node")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(sketch(x.as_py(), words)[3].astype(np.uint32)).tobytes() for x in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "grams"])
+
+    texts = source.join(wanted, (source["id"] == wanted["rep"]) & (source["text_hash"] == wanted["rep_hash"])).select("node", text)
+    sets = written(texts.mapInArrow(hashed, "node long, grams binary").dropDuplicates(["node"]), "shingle-sets")
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fine = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                fine.append(both >= similarity * (len(a) + len(b) - both) - 1e-9)
+            yield batch.select(["u", "v"]).filter(pa.array(fine, pa.bool_()))
+
+    joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
+    labels = components(joined.select("u", "v", "a", "b").mapInArrow(verified, "u long, v long"))
+    linked = written(labels.join(named, "node"), "linked-classes")
+    least = written(linked.groupBy("label").agg(F.min("rep").alias("group")), "groups")
+    of_node = linked.join(least, "label").select("node", "group")
+    of_class = written(classes.select("key", "rep", F.xxhash64("key").alias("node")).join(of_node, "node", "left").select("key", F.coalesce("group", "rep").alias("group")), "class-groups")
+    return rows.select("id", "text_hash", "key").join(of_class, "key").select("id", "text_hash", "group")
+
+
+def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """docs with one document of each group: that of the smallest id. Rows that share this id and text all stay."""
+    out = near_duplicate_groups(docs, id, text, **options).where("id <> group").select(F.struct("id", "text_hash").alias("__gone")).distinct()
+    key = F.struct(null_first(F.col(id).cast("long")).alias("id"), F.xxhash64(text).alias("text_hash"))
+    return docs.join(written(out, "near-duplicates"), key == F.col("__gone"), "left_anti")
