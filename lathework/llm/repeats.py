@@ -37,7 +37,7 @@ from lathework.llm.common import null_first, partitions, written
 TABLE = np.random.default_rng(50).integers(0, 2**64, 256, np.uint64, endpoint=False)
 BASE = 0x100000001B3
 PLACE = np.uint64((1 << 24) - 1)
-SEGMENT = 1 << 22
+SEGMENT = 1 << 18
 ROW = pa.schema([("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int64()), ("data", pa.binary())])
 ROW_SQL = "kind int, chunk long, bucket long, data binary"
 
@@ -80,7 +80,7 @@ def two_sided_repeats(lefts: list[bytes], rights: list[bytes], least: int) -> It
     """
     order = sorted(range(len(rights)), key=rights.__getitem__)
     lcp = [common_prefix(rights[a], rights[b]) for a, b in zip(order, order[1:], strict=False)]
-    for first, last, depth in lcp_intervals(lcp, 1):
+    for first, last, depth in lcp_intervals(lcp, max(1, least - max(map(len, lefts)))):
         need = least - depth
         members = sorted(order[first : last + 1], key=lefts.__getitem__)
         back = [common_prefix(lefts[a], lefts[b]) for a, b in zip(members, members[1:], strict=False)]
@@ -191,7 +191,7 @@ class Anchors:
                 c[i] = xxhash.xxh3_64_intdigest(data[p - l : p + r].tobytes(), l * 64 + r)
         docs.append(doc)
         places.append(at + low)
-        hashes.append(h[at])
+        hashes.append(stirred(h[at] * np.uint64(0x9E3779B97F4A7C15)))  # minimizers have small hashes: mixed again for even buckets
         around.append(c >> np.uint64(16))
 
 
@@ -300,10 +300,12 @@ def located(parts: list[dict], least: int) -> list[list[tuple[int, int, int]]]:
             lefts.append(p["bytes"][start : start + l][::-1])
             rights.append(p["bytes"][start + l : stop])
             ranks.append(int(p["rank"][j]))
+        farthest = [-1] * len(members)  # groups come with r falling, so one that reaches no farther left adds nothing
         for group, l, r in two_sided_repeats(lefts, rights, least):
             lowest = min(ranks[i] for i in group)
             for i in group:
-                if ranks[i] > lowest:
+                if ranks[i] > lowest and l > farthest[i]:
+                    farthest[i] = l
                     part, j = members[i]
                     place = int(parts[part]["place"][j])
                     found[part].append((int(parts[part]["doc"][j]), place - l, place + r))
@@ -321,7 +323,7 @@ def covered(spans: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 50, k: int = 20, chunk_bytes: int = 8 << 20, crowd: int = 2000, with_text: bool = False) -> DataFrame:
+def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 50, k: int = 20, chunk_bytes: int = 4 << 20, crowd: int = 2000, with_text: bool = False) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept, spans]) for each row of docs: removed is every byte inside
     a run of `least` bytes that also starts in a document of a smaller id. kept and spans are the bytes that stay and
     the (start, stop) of what went."""
