@@ -40,15 +40,21 @@ from lathework.llm.common import partitions, written
 
 END = b"\n"
 DISCOUNTED = 5
+LATER = ("back_doc", "back_times", "back_which", "followers", "often", "known", "ch", "hot_doc", "hot_times", "hot_h", "hot_seen")
+BITS = 20
+BIG = (1 << BITS) - 1  # a word is its count, up to this, and its place among its bucket's words of that count
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def packed(**arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+def packed(**arrays) -> bytes:
+    """Arrays compressed byte by byte of all their values, which suits whole numbers of few distinct high bytes."""
+    split = {k: (v.dtype, np.ascontiguousarray(v.view(np.uint8).reshape(-1, v.itemsize).T)) if isinstance(v, np.ndarray) and v.ndim == 1 and v.itemsize > 1 and v.dtype.kind in "iu" else (None, v) for k, v in arrays.items()}
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(split, protocol=5))
 
 
-def unpacked(data: bytes) -> dict[str, np.ndarray]:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+def unpacked(data: bytes) -> dict:
+    split = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+    return {k: v if kind is None else np.ascontiguousarray(v.T).view(kind).ravel() for k, (kind, v) in split.items()}
 
 
 def small(x: np.ndarray) -> np.ndarray:
@@ -57,6 +63,15 @@ def small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
+def planes(x: np.ndarray) -> np.ndarray:
+    """Sorted 64-bit values as differences, byte by byte of all, which compresses well."""
+    return np.ascontiguousarray(np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T)
+
+
+def from_planes(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(x.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def discounts(count_of_counts: np.ndarray) -> np.ndarray:
     """d(0..5, more): factors for counts, from how many items have counts 1..6. d(0) is not used."""
     n = np.concatenate([[0], count_of_counts]).astype(float)
@@ -100,12 +115,11 @@ def chunked(docs: DataFrame, train: Column, id: str, text: str, chunk: int) -> D
             words = place[np.concatenate(tokens)]
             sizes, learnt = np.array([len(t) for t in tokens], np.uint32), np.array(trains, bool)
             counts = np.bincount(words[np.repeat(learnt, sizes)], minlength=len(order))
-            row = [pa.array([next(numbers)], pa.int64()), pa.array([packed(hashes=hashes[order], counts=small(counts))], pa.binary()), pa.array([packed(words=small(words), sizes=sizes, train=learnt)], pa.binary()), pa.array([int(learnt.sum())], pa.int64())]
-            return pa.RecordBatch.from_arrays([*row, pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids, key_type))], ["chunk", "words", "tokens", "n_train", "ids"])
+            row = [pa.array([next(numbers)], pa.int64()), pa.array([packed(hashes=planes(hashes[order]), counts=small(counts))], pa.binary()), pa.array([packed(words=small(words), sizes=sizes, train=learnt, ids=ids)], pa.binary()), pa.array([int(learnt.sum())], pa.int64())]
+            return pa.RecordBatch.from_arrays(row, ["chunk", "words", "tokens", "n_train"])
 
         vocabulary, tokens, ids, trains, held = defaultdict(itertools.count().__next__), [], [], [], 0
         for batch in batches:
-            key_type = batch.schema.field(0).type
             for key, x, t in zip(batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2), strict=True):
                 words = (x.as_py() or b"").lower().split()
                 words.append(END)
@@ -119,9 +133,7 @@ def chunked(docs: DataFrame, train: Column, id: str, text: str, chunk: int) -> D
         if tokens:
             yield flush()
 
-    key = source.schema["id"].dataType
-    fields = [("chunk", T.LongType()), ("words", T.BinaryType()), ("tokens", T.BinaryType()), ("n_train", T.LongType()), ("ids", T.ArrayType(key))]
-    return source.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
+    return source.mapInArrow(run, "chunk long, words binary, tokens binary, n_train long")
 
 
 def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
@@ -154,22 +166,29 @@ def unigram_table(chunks: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for chunk, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x = unpacked(data)
-                owner = (x["hashes"] >> shift).astype(np.int64)
+                hashes = from_planes(x["hashes"])
+                owner = (hashes >> shift).astype(np.int64)
                 cuts = np.flatnonzero(np.diff(owner, prepend=-1, append=-1))
-                yield rows_of([(int(owner[a]), chunk, packed(h=x["hashes"][a:z], n=x["counts"][a:z])) for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("data", pa.binary())]))
+                yield rows_of([(int(owner[a]), chunk, packed(h=planes(hashes[a:z]), n=x["counts"][a:z])) for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("data", pa.binary())]))
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in grouped(batches):
             parts = [unpacked(r[2]) for r in rows]
-            hashes, inverse = np.unique(np.concatenate([p["h"] for p in parts]), return_inverse=True)
+            own_hashes = [from_planes(p["h"]) for p in parts]
+            hashes, inverse = np.unique(np.concatenate(own_hashes), return_inverse=True)
             counts = np.bincount(inverse, weights=np.concatenate([p["n"] for p in parts]).astype(float)).astype(np.int64)
+            level = np.minimum(counts, BIG)
+            order = np.argsort(level, kind="stable")
+            first = np.searchsorted(level[order], level[order], side="left")
+            number = np.empty(len(counts), np.int64)
+            number[order] = (np.arange(len(counts)) - first) * buckets + bucket
             out, at = [], 0
-            for row, p in zip(rows, parts, strict=True):
-                own = inverse[at : at + len(p["h"])]
+            for row, h in zip(rows, own_hashes, strict=True):
+                own = inverse[at : at + len(h)]
                 at += len(own)
-                out.append((0, row[1], bucket, packed(number=small(own * buckets + bucket), count=small(counts[own]))))
+                out.append((0, row[1], bucket, packed(number=small(number[own]), level=small(level[own]), big=counts[own][level[own] == BIG])))
             out.append((1, -1, bucket, packed(total=counts.sum(), distinct=(counts > 0).sum(), of=np.bincount(np.minimum(counts, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2])))
-            out.append((2, -1, bucket, packed(hashes=hashes, counts=small(counts))))
+            out.append((2, -1, bucket, packed(hashes=planes(hashes), counts=small(counts))))
             yield rows_of(out, ANSWER)
 
     dealt = chunks.select("chunk", "words").mapInArrow(sent, "bucket long, chunk long, data binary").repartition(min(buckets, partitions(chunks.sparkSession)), "bucket")
@@ -192,7 +211,7 @@ class Pairs:
         self.base = np.add.reduceat(np.log10(count[words] + 1.0), starts) - sizes * np.log10(model.tokens + model.distinct + 1.0)
         before = np.roll(words, 1)
         before[starts] = width - 1
-        number, count = np.append(number + 1, 0), np.append(count, n_train)  # 0: the start of a document
+        number, count = np.append((number + 1) << BITS | np.minimum(count, BIG), 0), np.append(count, n_train)  # 0: the start of a document
         posts, times = np.unique((before * width + words) * docs + doc, return_counts=True)
         pair, at = np.unique(posts // docs, return_index=True)
         size = np.diff(np.append(at, len(posts)))
@@ -213,52 +232,72 @@ class Pairs:
             own = self.order[a:z]
             size = self.size[own]
             posts = np.repeat(self.at[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            fields = {k: small(v[own]) for k, v in self.fields.items() if k != "h"}
-            step = np.diff(self.fields["h"][own], prepend=0)
-            yield int(owner[a]), packed(h=small(step), size=small(size), doc=small(self.doc[posts]), times=small(self.times[posts]), **fields)
+            fields = {k: small(self.fields[k][own]) for k in ("ch", "n", "hot")}
+            h, w = self.fields["h"][own], self.fields["w"][own]
+            new, level, place = np.diff(h, prepend=-1) != 0, w & BIG, w >> BITS
+            place = place - np.where(new, 0, np.append(0, place[:-1]))  # within a history the places grow
+            step = np.diff((h >> BITS)[new], prepend=0)  # a history's level is its count, which is sent anyway
+            fields |= {"w": small(place), "level": small(level), "big": self.fields["cw"][own][level == BIG]}
+            yield int(owner[a]), packed(h=small(step), new=np.packbits(new), size=small(size), doc=small(self.doc[posts]), times=small(self.times[posts]), **fields)
 
 
 class PairBucket:
     """Adds up the pairs of a bucket and answers the chunks."""
 
     def __init__(self, parts: list[dict[str, np.ndarray]], model: Unigrams):
-        self.parts = parts
-        every = {k: np.concatenate([p[k].astype(np.int64) for p in parts]) for k in ("w", "ch", "cw", "n", "hot")}
-        h = np.concatenate([np.cumsum(p["h"].astype(np.int64)) for p in parts])
-        order = np.lexsort((every["w"], h))
-        hs, ws = h[order], every["w"][order]
-        new_h = np.append(True, hs[1:] != hs[:-1])
-        fresh = new_h | np.append(True, ws[1:] != ws[:-1])
-        first = np.flatnonzero(fresh)
-        total = np.add.reduceat(every["n"][order], first)
-        self.count = np.empty(len(h), np.int64)
-        self.count[order] = np.repeat(total, np.diff(np.append(first, len(h))))
+        self.parts, self.model = parts, model
+        self.ch, learnt, hot = (np.concatenate([p[k] for p in parts]) for k in ("ch", "n", "hot"))
+        h, w = map(np.concatenate, zip(*map(self.keys, parts), strict=True))
+        self.cw = (w & BIG).astype(np.uint32) if not sum(len(p["big"]) for p in parts) else w & BIG
+        self.cw[self.cw == BIG] = np.concatenate([p["big"] for p in parts])
+        order = np.lexsort((w, h)).astype(np.uint32 if len(h) < 1 << 32 else np.int64)
+        h = h[order]
+        new_h = np.append(True, h[1:] != h[:-1])
+        self.number = h[new_h]
+        del h
+        w = w[order]
+        first = np.flatnonzero(new_h | np.append(True, w[1:] != w[:-1]))
+        del w
+        total = np.add.reduceat(learnt[order].astype(np.int64), first)
         self.of = np.bincount(np.minimum(total, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
-        group = np.cumsum(new_h) - 1
-        self.group = np.empty(len(h), np.int64)
+        self.count = np.empty(len(order), small(total).dtype)
+        self.count[order] = np.repeat(small(total), np.diff(np.append(first, len(order))))
+        group = (np.cumsum(new_h) - 1).astype(np.uint32 if len(order) < 1 << 32 else np.int64)
+        self.group = np.empty_like(group)
         self.group[order] = group
         own, n = group[first], int(group[-1]) + 1
-        p = np.where(total > 0, model.probability(every["cw"][order][first]), 0.0)
-        self.followers = np.stack([np.bincount(own[total == r], minlength=n) for r in range(1, DISCOUNTED + 1)], 1)
+        p = np.where(total > 0, model.probability(self.cw[order[first]].astype(np.int64)), 0.0)
+        self.followers = np.stack([np.bincount(own[total == r], minlength=n) for r in range(1, DISCOUNTED + 1)], 1).astype(np.uint32)
         self.often = np.bincount(own, weights=np.where(total > DISCOUNTED, total, 0), minlength=n).astype(np.int64)
         self.known = np.bincount(own, weights=p, minlength=n)
-        self.number, self.seen = hs[new_h], every["ch"][order][new_h]
-        self.hot = every["hot"][order][new_h].astype(bool)
-        self.every, self.h, self.model = every, h, model
+        heads = order[np.flatnonzero(new_h)]
+        self.seen, self.hot = self.ch[heads].astype(np.int64), hot[heads].astype(bool)
+
+    @staticmethod
+    def keys(part: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Histories and words of a part's pairs."""
+        place = np.cumsum(part["w"].astype(np.int64))
+        first = np.flatnonzero(np.unpackbits(part["new"], count=len(place)))
+        size = np.diff(np.append(first, len(place)))
+        start = np.where(part["ch"][first] == 0, 0, np.minimum(part["ch"][first].astype(np.int64), BIG))
+        history = np.cumsum(part["h"].astype(np.int64)) << BITS | start
+        begin = history >> BITS == 0
+        history[begin] = 0
+        return np.repeat(history, size), (place - np.repeat(np.append(0, place)[first], size)) << BITS | part["level"].astype(np.int64)
 
     def hot_sums(self) -> dict[str, np.ndarray]:
         m = self.hot
-        return {"h": self.number[m], "followers": self.followers[m], "often": self.often[m], "known": self.known[m], "seen": self.seen[m]}
+        return {"h": self.number[m], "followers": self.followers[m].astype(np.int64), "often": self.often[m], "known": self.known[m], "seen": self.seen[m]}
 
     def answers(self) -> Iterator[bytes]:
         at = 0
         for part in self.parts:
             own = slice(at, at + len(part["w"]))
             at += len(part["w"])
-            c, ch, g = self.count[own], self.every["ch"][own], self.group[own]
+            c, ch, g = self.count[own].astype(np.int64), self.ch[own].astype(np.int64), self.group[own]
             hot, none = self.hot[g], self.followers[g].sum(1) == 0
             seen = c > 0
-            value = np.where(seen, np.log10(np.maximum(c, 1)) - np.log10(np.maximum(ch, 1)), np.log10(self.model.probability(self.every["cw"][own])))
+            value = np.where(seen, np.log10(np.maximum(c, 1)) - np.log10(np.maximum(ch, 1)), np.log10(self.model.probability(self.cw[own].astype(np.int64))))
             value += np.where(seen & ~hot & none, np.log10(np.maximum(ch, 1) / (ch + 1.0)), 0.0)
             entry = np.repeat(np.arange(len(c)), part["size"].astype(np.int64))
             docs, doc = np.unique(part["doc"].astype(np.int64), return_inverse=True)
@@ -269,7 +308,7 @@ class PairBucket:
             back = (~seen & (ch > 0) & ~hot)[entry]
             histories, which = np.unique(g[entry[back]], return_inverse=True)
             open_hot = (hot & ((~seen & (ch > 0)) | (seen & none)))[entry]
-            yield packed(docs=small(docs), sums=sums, classes=small(classes.ravel()), back_doc=small(docs[doc[back]]), back_times=small(times[back]), back_which=small(which), followers=small(self.followers[histories].ravel()), often=small(self.often[histories]), known=self.known[histories], ch=small(self.seen[histories]), hot_doc=small(docs[doc[open_hot]]), hot_times=small(times[open_hot]), hot_h=small(self.h[own][entry[open_hot]]), hot_seen=seen[entry[open_hot]])
+            yield packed(docs=small(docs), sums=sums, classes=small(classes.ravel()), back_doc=small(docs[doc[back]]), back_times=small(times[back]), back_which=small(which), followers=small(self.followers[histories].ravel()), often=small(self.often[histories]), known=self.known[histories], ch=small(self.seen[histories]), hot_doc=small(docs[doc[open_hot]]), hot_times=small(times[open_hot]), hot_h=small(self.number[g[entry[open_hot]]]), hot_seen=seen[entry[open_hot]])
 
 
 class BackOff:
@@ -305,7 +344,7 @@ def score_katz(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "
     """(id, train, n_tokens, n_known, train_tokens, base_score, score) for each row of docs."""
     spark = docs.sparkSession
     width = partitions(spark)
-    buckets = 1 << max(4, width.bit_length())
+    buckets = 1 << max(4, (width - 1).bit_length())
     chunks = written(chunked(docs, F.coalesce(train & F.col(id).isNotNull(), F.lit(False)), id, text, chunk), "katz-chunks")
     words = written(unigram_table(chunks, buckets), "katz-unigrams")
     sums = [unpacked(bytes(r.data)) for r in words.where("kind = 1").select("data").collect()]
@@ -318,8 +357,10 @@ def score_katz(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "
         for chunk_number, rows in grouped(batches):
             tokens = unpacked(rows[0][2])
             got = [unpacked(r[2]) for r in rows[1:]]
-            pairs = Pairs(tokens, *(np.concatenate([g[k].astype(np.int64) for g in got]) for k in ("number", "count")), model_sent.value, n_train, buckets)
-            yield rows_of([(3, chunk_number, chunk_number % buckets, packed(sizes=tokens["sizes"], train=tokens["train"], known=pairs.known, base=pairs.base))], ANSWER)
+            number, count = (np.concatenate([g[k].astype(np.int64) for g in got]) for k in ("number", "level"))
+            count[count == BIG] = np.concatenate([g["big"] for g in got])
+            pairs = Pairs(tokens, number, count, model_sent.value, n_train, buckets)
+            yield rows_of([(3, chunk_number, chunk_number % buckets, packed(ids=tokens["ids"], sizes=tokens["sizes"], train=tokens["train"], n_known=pairs.known, base=pairs.base))], ANSWER)
             for bucket, data in pairs.requests():
                 yield rows_of([(4, chunk_number, bucket, data)], ANSWER)
 
@@ -337,32 +378,49 @@ def score_katz(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "
     both = chunks.select("chunk", F.lit(-1).cast("long").alias("bucket"), F.col("tokens").alias("data")).unionByName(known)
     requests = both.repartition(width, "chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(asked, ANSWER_SQL)
     dealt = requests.select("bucket", "kind", "chunk", "data").repartition(min(buckets, 2 * width), "bucket").sortWithinPartitions("bucket", "kind", "chunk")
-    answers = written(dealt.mapInArrow(answered, ANSWER_SQL), "katz-answers")
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What all buckets say about a chunk, in one row."""
+        for chunk_number, rows in grouped(batches):
+            if chunk_number < 0:
+                yield from (rows_of([(5, -1, r[2], r[3])], ANSWER) for r in rows)
+                continue
+            meta = unpacked(rows[0][3])
+            sums, classes = np.zeros(len(meta["sizes"])), np.zeros((len(meta["sizes"]), DISCOUNTED), np.int64)
+            later: dict[str, list[np.ndarray]] = defaultdict(list)
+            histories = 0
+            for r in rows[1:]:
+                x = unpacked(r[3])
+                sums[x["docs"]] += x["sums"]
+                classes[x["docs"]] += x["classes"].reshape(-1, DISCOUNTED)
+                x["back_which"] = x["back_which"].astype(np.int64) + histories
+                histories += len(x["ch"])
+                for name in LATER:
+                    later[name].append(x[name])
+            yield rows_of([(3, chunk_number, -1, packed(**meta, sums=sums, classes=small(classes.ravel()), **{n: np.concatenate(v) for n, v in later.items()}))], ANSWER)
+
+    answers = dealt.mapInArrow(answered, ANSWER_SQL).select("chunk", "kind", "bucket", "data").repartition(width, "chunk").sortWithinPartitions("chunk", "kind")
+    answers = written(answers.mapInArrow(summed, ANSWER_SQL), "katz-sums")
     sums = [unpacked(bytes(r.data)) for r in answers.where("kind = 5").select("data").collect()]
     back_off = spark.sparkContext.broadcast(BackOff(discounts(sum((s["of"] for s in sums), np.zeros(DISCOUNTED + 1, np.int64))), collected_hot(sums)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         b = back_off.value
-        for _, rows in grouped(batches):
-            ids = rows[0][3]
-            meta = unpacked(rows[1][2])
-            score = np.zeros(len(ids))
-            for r in rows[2:]:
-                x = unpacked(r[2])
-                score[x["docs"]] += x["sums"] + x["classes"].reshape(-1, DISCOUNTED) @ np.log10(b.d[1:-1])
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                x = unpacked(data)
+                score = x["sums"] + x["classes"].reshape(-1, DISCOUNTED) @ np.log10(b.d[1:-1])
                 if len(x["back_doc"]):
                     weight, _ = b.weights(x["followers"].reshape(-1, DISCOUNTED).astype(np.int64), x["often"].astype(np.int64), x["known"], x["ch"].astype(np.int64))
                     np.add.at(score, x["back_doc"], weight[x["back_which"]] * x["back_times"])
                 if len(x["hot_doc"]):
                     at = np.array([b.hot[int(h)] for h in x["hot_h"]])
                     np.add.at(score, x["hot_doc"], np.where(x["hot_seen"], b.hot_scale[at], b.hot_weight[at]) * x["hot_times"])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, key_type), pa.array(meta["train"]), pa.array(meta["sizes"].astype(np.int64)), pa.array(meta["known"]), pa.array(np.full(len(ids), model_sent.value.tokens)), pa.array(meta["base"]), pa.array(score)], names)
+                columns = [pa.array(x["ids"], key_type), pa.array(x["train"]), pa.array(x["sizes"].astype(np.int64)), pa.array(x["n_known"]), pa.array(np.full(len(score), model_sent.value.tokens)), pa.array(x["base"]), pa.array(score)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     key = docs.schema[id].dataType
     key_type = pa.int64() if isinstance(key, T.LongType) else pa.int32() if isinstance(key, T.IntegerType) else pa.string()
     names = [id, "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    owners = chunks.select("chunk", F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("data"), "ids")
-    replies = answers.where("kind in (3, 4)").select("chunk", "kind", "data", F.lit(None).cast(T.ArrayType(key)).alias("ids"))
-    final = owners.unionByName(replies).repartition(width, "chunk").sortWithinPartitions("chunk", "kind")
     types = [key, T.BooleanType(), T.LongType(), T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType()]
-    return final.mapInArrow(scored, T.StructType([T.StructField(n, t) for n, t in zip(names, types, strict=True)]))
+    return answers.where("kind = 3").select("data").mapInArrow(scored, T.StructType([T.StructField(n, t) for n, t in zip(names, types, strict=True)]))
