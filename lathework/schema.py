@@ -8,16 +8,17 @@ from pyspark.sql import types as T
 
 PROVENANCE = ["agent_source", "model", "vendor", "repo", "repo_resolution", "provenance", "batch_version"]
 
-STEPS = T.StructType.fromDDL("sid string, step_idx int, message_type string, tool_name string, tool_input map<string,string>, is_error boolean, timestamp string, tool_use_id string")
-TRIALS = T.StructType.fromDDL("task string, run string, reward double, f2p double, p2p double, error_code int, exception string, reward_txt double, cost_usd double, model string, subtype string, errors array<string>, p2p_error string")
+STEPS = "sid string, step_idx int, message_type string, tool_name string, tool_input map<string,string>, is_error boolean, timestamp string, tool_use_id string"
+TRIALS = "task string, run string, reward double, f2p double, p2p double, error_code int, exception string, reward_txt double, cost_usd double, model string, subtype string, errors array<string>, p2p_error string"
 
 
 def missing_columns(df: DataFrame, wanted: list[str]) -> list[str]:
     return [c for c in wanted if c not in df.columns]
 
 
-def assert_schema(df: DataFrame, wanted: T.StructType) -> DataFrame:
+def assert_schema(df: DataFrame, ddl: str) -> DataFrame:
     """df in the wanted columns and types; raises if a column is missing."""
+    wanted = T.StructType.fromDDL(ddl)
     if gone := missing_columns(df, wanted.names):
         raise ValueError(f"missing columns: {', '.join(gone)}")
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted))

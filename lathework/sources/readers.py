@@ -20,7 +20,7 @@ def with_line_numbers(lines: DataFrame) -> DataFrame:
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, line_no, line) of text files. A line's number needs its whole file in one row."""
-    return with_line_numbers(spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("path")))
+    return with_line_numbers(spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path")))
 
 
 def read_jsonl_tolerant(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -40,7 +40,7 @@ def last_by_position(rows: DataFrame, key: str) -> DataFrame:
 
 def read_trajectory(spark: SparkSession, path: str, step: T.StructType) -> DataFrame:
     """(path, steps): one JSON array for each file; an empty array where it can't be read."""
-    files = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
     return files.select("path", F.coalesce(F.from_json("value", T.ArrayType(step)), F.array().cast(T.ArrayType(step))).alias("steps"))
 
 

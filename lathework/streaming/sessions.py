@@ -10,26 +10,34 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 GAP = "30 minutes"
 
 
+def timed(events: DataFrame, ts: str, late: str) -> DataFrame:
+    """events with a watermark; streams need an event time with a zone."""
+    if events.isStreaming and isinstance(events.schema[ts].dataType, T.TimestampNTZType):
+        events = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    return events.withWatermark(ts, late)
+
+
 def sessionized(events: DataFrame, by: str = "user_id", ts: str = "ts", late: str = "1 hour") -> DataFrame:
     """(by, start, end, n): sessions that a gap over half an hour ends."""
-    windowed = events.withWatermark(ts, late).groupBy(F.col(by), F.session_window(ts, GAP).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    windowed = timed(events, ts, late).groupBy(F.col(by), F.session_window(ts, GAP).alias("w")).agg(F.count(F.lit(1)).alias("n"))
     return windowed.select(by, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
 def hourly_errors(events: DataFrame, late: str = "1 hour") -> DataFrame:
     """(hour, event_type, n): tumbling counts."""
-    windowed = events.withWatermark("ts", late).groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    windowed = timed(events, "ts", late).groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
     return windowed.select(F.col("w.start").alias("hour"), "event_type", "n")
 
 
 def without_repeats(events: DataFrame, key: str = "event_id", ts: str = "ts", late: str = "1 hour") -> DataFrame:
     """The first row of every key within the watermark."""
-    return events.withWatermark(ts, late).dropDuplicatesWithinWatermark([key]) if events.isStreaming else events.dropDuplicates([key])
+    return timed(events, ts, late).dropDuplicatesWithinWatermark([key]) if events.isStreaming else events.dropDuplicates([key])
 
 
 def upsert_latest(path: str, key: str, order: str):
@@ -65,4 +73,4 @@ def _count_tools(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState)
 
 def closed_sessions(events: DataFrame, late: str = "10 minutes") -> DataFrame:
     """(user_id, n, errors) when a user has been silent for half an hour of event time; state is two counters a user."""
-    return events.withWatermark("ts", late).groupBy("user_id").applyInPandasWithState(_count_tools, "user_id long, n long, errors long", "n long, errors long", "append", GroupStateTimeout.EventTimeTimeout)
+    return timed(events, "ts", late).groupBy("user_id").applyInPandasWithState(_count_tools, "user_id long, n long, errors long", "n long, errors long", "append", GroupStateTimeout.EventTimeTimeout)
