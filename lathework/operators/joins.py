@@ -74,12 +74,27 @@ def missing_files(required: DataFrame, present: DataFrame) -> DataFrame:
     return required.join(present.where("size > 0"), ["task", "path"], "left_anti")
 
 
+def numbered(df: DataFrame, order: str, rows: int = 100_000) -> DataFrame:
+    """df with __n, the place of each row by a distinct numeric key, from 0. Ranges of about `rows` rows are numbered by
+    themselves, so no task sorts the whole table; only their sizes reach the driver."""
+    buckets = max(1, df.count() // rows)
+    cuts = sorted(set(df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.2 / buckets))) if buckets > 1 else []
+    bucket = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(order))) if cuts else F.lit(0)
+    dealt = df.withColumn("__b", bucket)
+    sizes, start, offsets = {r["__b"]: r["count"] for r in dealt.groupBy("__b").count().collect()}, 0, []
+    for b in sorted(sizes):
+        offsets += [F.lit(b), F.lit(start)]
+        start += sizes[b]
+    if not offsets:
+        return df.withColumn("__n", F.lit(0).cast("long"))
+    place = F.row_number().over(Window.partitionBy("__b").orderBy(order)) - 1
+    return dealt.withColumn("__n", place + F.try_element_at(F.create_map(*offsets), F.col("__b"))).drop("__b")
+
+
 def even_stride(df: DataFrame, order: str, k: int) -> DataFrame:
-    """Every floor(n/k)-th row in order, the first k of them."""
-    n = df.count()
-    step = max(1, n // k)
-    ranked = df.withColumn("__n", F.row_number().over(Window.orderBy(order)) - 1)
-    return ranked.where(F.col("__n") % step == 0).orderBy(order).limit(k).drop("__n")
+    """Every floor(n/k)-th row by a distinct numeric key, the first k of them."""
+    step = max(1, df.count() // k)
+    return numbered(df, order).where(F.col("__n") % step == 0).orderBy(order).limit(k).drop("__n")
 
 
 def seeded_sample(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:

@@ -63,19 +63,26 @@ def step_intervals(spans: DataFrame, steps: DataFrame) -> DataFrame:
     """(unit_id, sid, lo, hi) of the steps from start up to before end, exact for timelines that are not monotone.
 
     spans: unit_id, sid, start, end (null: open). steps: sid, idx, ts. lo is the first step at or after start, else the
-    last step; hi is the last step before the first one at or after end.
+    last step; hi is the last step before the first one at or after end. Both are null without a start or any step.
+    Starts, ends and steps of a session are ordered together and looked up with one window, so the work grows with
+    their number and not with its square.
     """
-    joined = spans.join(steps.select("sid", "idx", "ts"), "sid")
-    marks = joined.groupBy("unit_id", "sid").agg(
-        F.min(F.when(F.col("ts") >= F.col("start"), F.col("idx"))).alias("lo"),
-        F.min(F.when(F.col("ts") >= F.col("end"), F.col("idx"))).alias("stop"),
-        F.max("idx").alias("last"),
-    )
-    before = steps.select("sid", F.col("idx").alias("i"))
-    inner = marks.join(before, "sid", "left").where(F.col("stop").isNull() | (F.col("i") < F.col("stop")))
-    hi = inner.groupBy("unit_id", "sid").agg(F.max("i").alias("hi"))
-    out = marks.join(hi, ["unit_id", "sid"], "left").withColumn("lo", F.coalesce("lo", "last"))
-    return out.select("unit_id", "sid", "lo", F.greatest("lo", F.when(F.col("stop").isNull(), F.col("last")).otherwise(F.coalesce("hi", "lo"))).alias("hi"))
+    before = F.lag("idx").over(Window.partitionBy("sid").orderBy("idx"))
+    none = F.lit(None).cast("string")
+    kind = steps.schema["idx"].dataType
+    marks = steps.select("sid", F.col("ts").alias("t"), F.struct("idx", before.alias("before")).alias("s"), none.alias("unit_id"), none.alias("side"))
+    empty = F.lit(None).cast(marks.schema["s"].dataType).alias("s")
+    ends = spans.select("sid", F.explode(F.array(F.struct(F.col("start").alias("t"), F.lit("lo").alias("side")), F.struct(F.col("end").alias("t"), F.lit("hi").alias("side")))).alias("e"), "unit_id")
+    both = marks.unionByName(ends.select("sid", "e.t", empty, F.col("unit_id").cast("string").alias("unit_id"), "e.side"))
+    at_or_after = Window.partitionBy("sid").orderBy("t").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    found = both.withColumns({"hit": F.min("s").over(at_or_after), "last": F.max("s.idx").over(Window.partitionBy("sid"))}).where("unit_id is not null")
+    out = found.groupBy("unit_id", "sid").agg(
+        F.max("last").cast(kind).alias("last"), F.max(F.when(F.col("side") == "lo", F.col("t"))).isNotNull().alias("begins"),
+        F.max(F.when((F.col("side") == "lo") & F.col("t").isNotNull(), F.col("hit.idx"))).alias("first"), F.max(F.when((F.col("side") == "hi") & F.col("t").isNotNull(), F.col("hit"))).alias("stop"),
+    )
+    lo = F.when(F.col("begins"), F.coalesce("first", "last"))
+    hi = F.when(F.col("stop").isNull(), F.col("last")).otherwise(F.coalesce("stop.before", lo))
+    return out.select("unit_id", "sid", lo.alias("lo"), F.when(F.col("begins"), F.greatest(lo, hi)).alias("hi"))
 
 
 def enforce_partition(intervals: DataFrame) -> DataFrame:

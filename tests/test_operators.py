@@ -68,6 +68,19 @@ def test_step_intervals_follow_the_loop_for_any_timeline(spark):
     assert {x.unit_id: (x.lo, x.hi) for x in out.collect()} == want
 
 
+def test_step_intervals_without_start_or_steps(spark):
+    steps = spark.createDataFrame([("s", 0, 5)], "sid string, idx int, ts int")
+    spans = spark.createDataFrame([("a", "s", None, 9), ("b", "other", 1, None), ("c", "s", 7, None)], "unit_id string, sid string, start int, end int")
+    assert {r.unit_id: (r.lo, r.hi) for r in sessions.step_intervals(spans, steps).collect()} == {"a": (None, None), "b": (None, None), "c": (0, 0)}
+
+
+def test_numbering_in_ranges(spark):
+    rows = spark.createDataFrame([(i * 7 % 1000,) for i in range(1000)], "k int")
+    assert all(r.k == r["__n"] for r in joins.numbered(rows, "k", 90).collect())
+    assert joins.numbered(rows.limit(0), "k").count() == 0
+    assert [r.k for r in joins.even_stride(rows, "k", 4).collect()] == [0, 250, 500, 750]
+
+
 def reasons(spark, turns):
     rows = [("s", i, *t) for i, t in enumerate(turns)]
     out = sessions.boundaries(spark.createDataFrame(rows, "sid string, seq int, text string, ts_epoch double, files array<string>"))
