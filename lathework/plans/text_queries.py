@@ -239,16 +239,20 @@ def _(spark, sf):
     return gates.assertions(again, {"no_residual": F.col("hit_count") == 0})
 
 
-MAIL = "(^|[^A-Za-z0-9_])([a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,})"
+EDGE = "(?:^|[^\\p{L}\\p{N}_])"
+COUNTS = f"""d AS (SELECT lang, len(regexp_extract_all(text, '{EDGE}(?i:token|secret|password|passwd|api_key|apikey|auth_token|access_token|private_key|client_secret)["''\\s:=]+[a-zA-Z0-9_.-]{{16,}}')) AS secrets,
+  len(regexp_extract_all(text, '{EDGE}AKIA[0-9A-Z]{{16}}(?:[^\\p{{L}}\\p{{N}}_]|$)')) AS aws,
+  len(list_filter(regexp_extract_all(text, '{EDGE}([a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{{2,}})', 1), lambda m: NOT list_contains({literal(R.PUBLIC_MAIL)}, lower(split_part(m, '@', 2))))) AS mails,
+  len(regexp_extract_all(text, '{EDGE}(?:10\\.[0-9]{{1,3}}\\.[0-9]{{1,3}}\\.[0-9]{{1,3}}|172\\.(?:1[6-9]|2[0-9]|3[01])\\.[0-9]{{1,3}}\\.[0-9]{{1,3}}|192\\.168\\.[0-9]{{1,3}}\\.[0-9]{{1,3}})(?:[^\\p{{L}}\\p{{N}}_]|$)')) AS ips FROM documents)"""
 
 
-@query("flagship_redaction_by_severity")
+@query("flagship_redaction_by_severity", f"WITH {COUNTS} SELECT lang, CASE WHEN secrets + aws > 0 THEN 'high' WHEN mails + ips > 0 THEN 'medium' ELSE 'none' END AS severity, count(*) AS n, sum(secrets + least(aws, 1) + mails + least(ips, 1))::BIGINT AS hits FROM d GROUP BY 1, 2")
 def _(spark, sf):
     docs = R.redact(table(spark, sf, "documents").select("doc_id", "lang", "text"))
     return docs.groupBy("lang", F.coalesce("severity", F.lit("none")).alias("severity")).agg(F.count(F.lit(1)).alias("n"), F.sum("hit_count").alias("hits"))
 
 
-@query("ag08_redaction_types")
+@query("ag08_redaction_types", f"WITH {COUNTS}, t AS (SELECT 'generic_secret' AS type, 'high' AS severity, secrets AS c FROM d UNION ALL SELECT 'aws_key', 'high', aws FROM d UNION ALL SELECT 'email', 'medium', mails FROM d UNION ALL SELECT 'private_ip', 'medium', ips FROM d) SELECT type, severity, count(*) AS texts, sum(c)::BIGINT AS matches FROM t WHERE c > 0 GROUP BY ALL")
 def _(spark, sf):
     docs = R.redact(table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select(F.explode("hits").alias("h")).groupBy("h.type", "h.severity").agg(F.count(F.lit(1)).alias("texts"), F.sum("h.count").alias("matches"))
