@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import partitions, written
+from lathework.llm.common import partitions, small_batches, written
 
 END = b"\n"
 DISCOUNTED = 5
@@ -344,6 +344,7 @@ def score_katz(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "
     """(id, train, n_tokens, n_known, train_tokens, base_score, score) for each row of docs."""
     spark = docs.sparkSession
     width = partitions(spark)
+    small_batches(spark)
     buckets = 1 << max(4, (width - 1).bit_length())
     chunks = written(chunked(docs, F.coalesce(train & F.col(id).isNotNull(), F.lit(False)), id, text, chunk), "katz-chunks")
     words = written(unigram_table(chunks, buckets), "katz-unigrams")

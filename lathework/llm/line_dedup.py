@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import null_first, partitions, written
+from lathework.llm.common import null_first, partitions, small_batches, written
 
 FLUSH = 1 << 20
 PROBES = 4
@@ -172,6 +172,7 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
+    small_batches(spark)
     filters = spark.sparkContext.broadcast(line_filters(docs, text, least, filter_bytes))
     names = docs.columns
     at_text = names.index(text)

@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lathework.llm.common import small_batches
+
 Piece = tuple[int, int, int]  # document, start, length
 
 
@@ -55,7 +57,7 @@ class Encoder:
         exact, fast = encoders(*self.paths, public_tokenizers.PATTERN)
         if self.specials is None:
             self.specials = tuple(x.content for x in exact.get_added_tokens_decoder().values())
-        if any(s in text for s in self.specials) or (not text.isascii() and max(text) > "￿"):
+        if any(s in text for s in self.specials) or (not text.isascii() and max(text) > "\uffff"):
             return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
@@ -156,6 +158,7 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, id: str = "doc_id", t
     """One row for each piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and its ids (unsigned
     little-endian 32-bit) if asked for."""
     encoder = Encoder(json_path, ranks_path)
+    small_batches(docs.sparkSession)
     docs = docs.select(id, text)
     types = {**COLUMNS, **({"ids": T.BinaryType()} if with_ids else {})}
 

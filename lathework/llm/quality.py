@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lathework.llm.common import small_batches
+
 UPPERS, DIGITS, BREAKS = bytes(range(65, 91)), b"0123456789", b" \t\r\x0b\x0c"
 LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256))
 MARKS = b"!#$%&*@^~<>=+_{}[]\\/"
@@ -206,6 +208,7 @@ def training_rows(column: str, folds: int, held: int):
 def score_quality(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = 0.3, folds: int = 5, held: int = 0, sample: int = 2000, chain: int = 64, segments: int = 4) -> DataFrame:
     """docs with score (0 to 1) and predicted (1 if score >= threshold)."""
     docs = docs.drop("score", "predicted")
+    small_batches(docs.sparkSession)
     usable = labels.where(training_rows(id, folds, held) & F.col(label).isin(0, 1))
     usable = usable.groupBy(F.col(id).cast("string").alias("__id")).agg(F.min(label).cast("int").alias("quality"))
     model = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, usable, id, text, sample, chain, segments))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import null_first, partitions, written
+from lathework.llm.common import null_first, partitions, small_batches, written
 
 TABLE = np.random.default_rng(50).integers(0, 2**64, 256, np.uint64, endpoint=False)
 BASE = 0x100000001B3
@@ -329,6 +329,7 @@ def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
     the (start, stop) of what went."""
     spark = docs.sparkSession
     width = partitions(spark)
+    small_batches(spark)
     buckets = 1 << max(4, (2 * width - 1).bit_length())
     chunks = written(chunked(docs, id, text, chunk_bytes), "repeat-chunks")
 
@@ -359,7 +360,6 @@ def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
             data, sizes = opened(rows[0][3]), np.array(rows[0][4], np.int64)
             ranks = np.array(rows[0][5], np.int64)
             x = Anchors(data, sizes, least, k, buckets)
-            starts = np.cumsum(sizes) - sizes
             flags = np.zeros(len(x.doc), np.uint8)
             parts = dict(x.parts)
             for r in rows[1:]:
@@ -388,7 +388,6 @@ def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
                 body = b"".join(data[p - l : p + r].tobytes() for p, l, r in zip(place.tolist(), left[own].tolist(), right[own].tolist(), strict=True))
                 doc = x.doc[at[own]]
                 yield sent_rows((3, chunk, int(owner[own[0]]), squeezed(key=key[own], doc=doc.astype(np.uint32), rank=ranks[doc], place=place, left=left[own].astype(np.uint16), right=right[own].astype(np.uint16), bytes=body)))
-            del starts
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in by_first(batches):

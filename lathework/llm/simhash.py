@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import null_first, partitions, written
+from lathework.llm.common import null_first, partitions, small_batches, written
 from lathework.llm.components import components
 
 FULL = np.uint64(2**64 - 1)
@@ -62,6 +62,7 @@ def simhash(features: list[bytes], seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, id: str, text: str, words: int, seeds: tuple[int, ...] = (42,)) -> DataFrame:
     """(id, fp0, fp1, ...): a signed 64-bit fingerprint for each seed."""
     names = [f"fp{i}" for i in range(len(seeds))]
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,6 +301,7 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
     distinct word shingles. Equal word sequences are one class. Candidates are classes whose word fingerprints are
     within the radius (found through the trees) and whose shingle fingerprints are near; every one is verified."""
     source = docs.select(null_first(F.col(id).cast("long")).alias("id"), F.xxhash64(text).alias("text_hash"), text)
+    small_batches(docs.sparkSession)
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -380,3 +380,24 @@ def test_top_k_is_exact(spark, shard_rows):
         want = sorted((sum(a != b for a, b in zip(code[q], c, strict=True)), i) for i, c in code.items())[:7]
         assert sorted(found[q]) == [(n + 1, d, i) for n, (d, i) in enumerate(want)]
     assert top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_minimizers_do_not_depend_on_segments(monkeypatch):
+    from lathework.llm import repeats
+
+    r = np.random.default_rng(9)
+    texts = [r.integers(97, 101, n).astype(np.uint8) for n in (10, 70, 5000, 30, 12_345, 0, 49, 50)] + [np.full(3000, 97, np.uint8)]
+    data, sizes = np.concatenate(texts), np.array([len(t) for t in texts])
+
+    def found(segment):
+        monkeypatch.setattr(repeats, "SEGMENT", segment)
+        x = repeats.Anchors(data, sizes, 50, 20, 16)
+        return sorted(zip(x.doc.tolist(), x.place.tolist(), x.hash.tolist(), x.around.tolist(), strict=True))
+
+    whole = found(1 << 22)
+    assert whole == found(1000) == found(137) and len(whole) > 500
+    ends = np.cumsum(sizes)
+    places = {p for _, p, *_ in whole}
+    for d, (a, z) in enumerate(zip(ends - sizes, ends, strict=True)):
+        for s in range(a, z - 49):
+            assert any(p in places for p in range(s, s + 31)), d
