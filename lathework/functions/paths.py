@@ -78,3 +78,23 @@ def classify_dropped(path: Column, root: str, repo: Column) -> Column:
         .when(path.startswith(root), "cross_repo")
         .otherwise("out_of_scope")
     )
+
+
+def is_doc_file(path: Column) -> Column:
+    """Below docs/ or a markdown file: left out of code patches."""
+    return path.startswith("docs/") | path.endswith(".md")
+
+
+def kept_in_snapshot(path: Column, prefixes: Sequence[str], files: Sequence[str], exempt: Sequence[str] = ()) -> Column:
+    """False for what lies below a leaking prefix at the top, or is a leaking file; exempt paths stay."""
+    return path.isin(*exempt) | ~(under_any(path, prefixes) | path.isin(*files)) if exempt else ~(under_any(path, prefixes) | path.isin(*files))
+
+
+def round_trips(absolute: Column, relative: Column, root: str, repo: Column) -> Column:
+    """Whether root, repository and relative path give the absolute path again."""
+    return F.coalesce(F.concat(F.lit(root), repo, F.lit("/"), relative) == absolute, F.lit(False))
+
+
+def relative_in_known(path: Column, root: str, repos: Sequence[str]) -> Column:
+    """The path below the longest known repository, or null."""
+    return relative_path(F.substring_index(path, WORKTREE, 1), root, repo_of(path, root, repos))

@@ -212,3 +212,11 @@ def redact_to_fixpoint(c: Column, pattern: str, replacement: str, rounds: int =
     for _ in range(rounds):
         out = F.regexp_replace(out, pattern, replacement)
     return out
+
+
+WORKING_DIRECTORY = r"(?:Primary working directory|Working directory|Current working directory)\s*[:=]\s*(/[^\n\"\\'`]+?)\s*\n"
+
+
+def working_directories(c: Column) -> Column:
+    """Declared working directories; a name may hold spaces, so a line end closes it."""
+    return F.regexp_extract_all(text_of(c), F.lit(WORKING_DIRECTORY), F.lit(1))

@@ -155,3 +155,35 @@ def framework_mode(package_json):
     """workspace, external or absent, from the dependencies of a package.json."""
     spec = F.coalesce(F.get_json_object(package_json, "$.devDependencies['eval-framework']"), F.get_json_object(package_json, "$.dependencies['eval-framework']"))
     return F.when(spec.isNull(), "absent").when(spec.startswith("workspace:"), "workspace").otherwise("external")
+
+
+def started(sessions: DataFrame, calls: str = "tools") -> DataFrame:
+    """sessions with started: at least one recorded call."""
+    return sessions.withColumn("started", F.size(F.coalesce(calls, F.array().cast("array<string>"))) > 0)
+
+
+def ordered_documents(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, doc): JSON with fixed column order, rows by key; nulls are written."""
+    return df.select(key, F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("doc")).orderBy(key)
+
+
+def candidates_by_base(candidates: DataFrame) -> DataFrame:
+    """(base, paths): candidate files of all tasks that share a base, sorted."""
+    return candidates.groupBy("base").agg(F.array_sort(F.collect_set("path")).alias("paths"))
+
+
+def kept_and_dropped(units: DataFrame) -> DataFrame:
+    """All units with list: kept or dropped."""
+    return units.where("keep").withColumn("list", F.lit("kept")).unionByName(units.where("not coalesce(keep, false)").withColumn("list", F.lit("dropped")))
+
+
+def member_states(members: DataFrame, rates: DataFrame) -> DataFrame:
+    """(task, state): solved, unsolved, excluded (ran without a usable attempt) or missing (did not run)."""
+    joined = members.select("task").distinct().join(rates, "task", "left")
+    return joined.select("task", F.when(F.col("attempts").isNull(), "missing").when(F.col("rate").isNull(), "excluded").when(F.bround("rate") > 0, "solved").otherwise("unsolved").alias("state"))
+
+
+def attribution(rows: DataFrame, gate: str) -> DataFrame:
+    """(gate, passed, failed, infra, total, closes): every gate with its own denominator, and whether its parts add up."""
+    out = rows.groupBy(gate).agg(F.count_if("ok").alias("passed"), F.count_if(~F.col("ok") & ~F.col("infra")).alias("failed"), F.count_if(~F.col("ok") & F.col("infra")).alias("infra"), F.count(F.lit(1)).alias("total"))
+    return out.withColumn("closes", F.col("passed") + F.col("failed") + F.col("infra") == F.col("total"))
