@@ -100,7 +100,7 @@ def _(spark, sf):
     return spark.createDataFrame([(joins.same_sets(t, t.distinct(), ["task"]), joins.same_sets(t, t.where("task > 'T2'"), ["task"]))], "same_tasks boolean, same_as_part boolean")
 
 
-@query("ma04_binomial_tails", "SELECT n, m, round(sum(factorial(n) / (factorial(k) * factorial(n - k)) * pow(0.15::DOUBLE, k) * pow(0.85::DOUBLE, n - k)), 9) AS p FROM (SELECT n, m, unnest(range(m, n + 1)) AS k FROM (VALUES (10, 4), (6, 0), (6, 6), (3, 2)) v(n, m)) GROUP BY n, m")
+@query("ma04_binomial_tails", "SELECT n, m, round(sum(factorial(n::INTEGER)::DOUBLE / (factorial(k::INTEGER)::DOUBLE * factorial((n - k)::INTEGER)::DOUBLE) * pow(0.15::DOUBLE, k) * pow(0.85::DOUBLE, n - k)), 9) AS p FROM (SELECT n, m, unnest(range(m, n + 1)) AS k FROM (VALUES (10, 4), (6, 0), (6, 6), (3, 2)) v(n, m)) GROUP BY n, m")
 def _(spark, sf):
     rows = [(n, m, float(stats.binomial_tail(n, Fraction(3, 20), m))) for n, m in ((10, 4), (6, 0), (6, 6), (3, 2))]
     return spark.createDataFrame(rows, "n int, m int, p double").withColumn("p", F.round("p", 9))
