@@ -32,10 +32,12 @@ def local_folder() -> str:
     return "file://" + tempfile.mkdtemp(prefix="lathework-")
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a table in the shared folder: cuts the lineage and survives lost executors."""
+def written(df: DataFrame, what: str, rows: int | None = None) -> DataFrame:
+    """df as a table in the shared folder: cuts the lineage and survives lost executors. With a bound of its rows it gets
+    one file for every 50,000 of them at most, so that small tables are not hundreds of files."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+    df = df if rows is None else df.coalesce(max(1, -(-rows // 50_000)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

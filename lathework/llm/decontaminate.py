@@ -51,10 +51,11 @@ def prefixes(docs: DataFrame, items: DataFrame, text: str, item_id: str, item_te
     token = of.select("item_id", "w", "size", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("size") + 1)).alias("start"))
     token = token.select("item_id", "w", "size", "start", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)).alias("at"))
     token = token.withColumn("word", F.element_at("w", F.col("at")))
-    vocabulary = written(token.select("word").distinct(), "prefix-words")
+    bound = 200 * items.count()  # words are few beside documents; only the number of files depends on it
+    vocabulary = written(token.select("word").distinct(), "prefix-words", bound)
     said = docs.select(F.explode_outer(words_of(F.col(text))).alias("word"))  # outer: else Spark splits the texts again to test for words
     counts = [said.join(F.broadcast(b), "word").groupBy("word").agg(F.count(F.lit(1)).alias("n")) for b in blocks(vocabulary, block, "word")]
-    counted = written(reduce(DataFrame.unionByName, counts), "prefix-counts")  # so that AQE can split a hot word in the join
+    counted = written(reduce(DataFrame.unionByName, counts), "prefix-counts", bound)  # so that AQE can split a hot word in the join
     token = token.join(counted, "word", "left")
     rarest = token.groupBy("item_id", "w", "size", "start").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("p"))
     out = rarest.select("item_id", "w", "size", F.col("p.at").alias("at"), F.col("p.word").alias("word")).distinct()
@@ -85,7 +86,7 @@ def matches(docs: DataFrame, prefix: DataFrame, text: str, width: int, block: in
 def overlap(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = 13, block: int = 20_000) -> DataFrame:
     """One row for each row of docs: id, text_hash, n_chars, n_words, n_hit (words inside windows of items), item_ids
     (sorted ids of items with windows here)."""
-    prefix = written(prefixes(docs, items, text, item_id, item_text, width, block), "prefixes")
+    prefix = written(prefixes(docs, items, text, item_id, item_text, width, block), "prefixes", 200 * items.count())
     spans = matches(docs.select(F.col(id).alias("id"), *text_key(text), text), prefix, text, width, block)
     of_text = F.col("first") < 0
     by_doc = spans.groupBy("id", "text_hash", "n_chars").agg(
@@ -111,7 +112,7 @@ def text_key(text: str) -> list[Column]:
 def drop_contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs without those that are contaminated, with their columns."""
     bad = overlap(docs, items, id, text, **options).where(contaminated())
-    bad = written(bad.select(F.struct("id", "text_hash", "n_chars").alias("__bad")).distinct(), "contaminated")
+    bad = written(bad.select(F.struct("id", "text_hash", "n_chars").alias("__bad")).distinct(), "contaminated", docs.count())
     key = F.struct(F.col(id).alias("id"), *text_key(text))
     return docs.join(bad, key.eqNullSafe(F.col("__bad")), "left_anti")
 

@@ -50,9 +50,11 @@ def positions(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
 
 
 class Bloom:
+    """A filter of a power of two bits: one byte a bit while it is built, packed once it is only asked."""
+
     def __init__(self, bits: int, data: bytes | None = None):
-        self.bits = bits
-        self.set = np.zeros(bits, bool) if data is None else np.unpackbits(np.frombuffer(data, np.uint8)).astype(bool)
+        self.bits, self.packed = bits, data is not None
+        self.set = np.zeros(bits, bool) if data is None else np.frombuffer(data, np.uint8)
 
     @classmethod
     def sized(cls, items: int, most_bits: int = 1 << 33) -> Bloom:
@@ -61,7 +63,7 @@ class Bloom:
     def has(self, hashes: np.ndarray) -> np.ndarray:
         found = np.ones(len(hashes), bool)
         for at in positions(hashes, self.bits):
-            found &= self.set[at]
+            found &= (self.set[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) if self.packed else self.set[at]
         return found
 
     def add(self, hashes: np.ndarray) -> None:
@@ -69,7 +71,7 @@ class Bloom:
             self.set[at] = True
 
     def data(self) -> bytes:
-        return np.packbits(self.set).tobytes()
+        return np.packbits(self.set, bitorder="little").tobytes()
 
 
 def twice_seen(blobs: list[np.ndarray], repeated: list[np.ndarray]) -> np.ndarray:
@@ -186,8 +188,8 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
     pairs = docs.select(null_first(F.col(id).cast("long")).alias("id"), text).mapInArrow(suspected, "id long, key string")
     pairs = written(pairs.groupBy("id", "key").agg(F.lit(1).alias("one")).select("id", "key"), "line-suspects")
     confirmed = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
-    confirmed = written(confirmed.select("key", "keeper"), "repeated-lines")  # so that the next join shuffles both sides and AQE can split a hot key
-    losses = pairs.join(confirmed.hint("merge"), "key").where("id <> keeper").groupBy("id").agg(F.collect_list("key").alias("__lost")).withColumnRenamed("id", "__id")
+    confirmed = written(confirmed.select("key", "keeper"), "repeated-lines", pairs.count())  # so that the next join shuffles both sides and AQE can split a hot key
+    losses = pairs.join(confirmed, "key").where("id <> keeper").groupBy("id").agg(F.collect_list("key").alias("__lost")).withColumnRenamed("id", "__id")
 
     def split(want: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,5 +224,5 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in docs.schema] + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     clean = docs.mapInArrow(split(False), schema)
-    mixed = docs.mapInArrow(split(True), schema).withColumn("__id", null_first(F.col(id).cast("long"))).join(losses.hint("merge"), "__id", "left").drop("__id")
+    mixed = docs.mapInArrow(split(True), schema).withColumn("__id", null_first(F.col(id).cast("long"))).join(losses, "__id", "left").drop("__id")
     return clean.unionByName(mixed.mapInArrow(removed, schema))

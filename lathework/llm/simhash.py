@@ -196,7 +196,9 @@ def search_shards(rows: DataFrame, columns: list[str], radius: int, search: Sear
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(tree: int, blobs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            found = list(search(np.concatenate(blobs), parts[tree], radius, np.random.default_rng(7)))
+            rows = np.concatenate(blobs)
+            rows = rows[np.lexsort(rows.T)]  # the same links whatever order the shuffle brings them in
+            found = list(search(rows, parts[tree], radius, np.random.default_rng(7)))
             if found:
                 u, v = (np.concatenate(x).view(np.int64) for x in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
@@ -223,12 +225,13 @@ def close_pairs(distinct: DataFrame, column: str, radius: int = 3) -> DataFrame:
 
 def component_of_fingerprint(prints: DataFrame, radius: int) -> DataFrame:
     """(fp, component_id) for every distinct fp of prints (id, fp)."""
-    classes = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")
+    rows = prints.count()
+    classes = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes", rows)
     labels = components(close_pairs(classes, "fp", radius)).withColumnRenamed("node", "fp")
-    linked = written(labels.join(classes, "fp"), "linked-classes")
-    least = written(linked.groupBy("label").agg(F.min("least").alias("component_id")), "components")
+    linked = written(labels.join(classes, "fp"), "linked-classes", rows)
+    least = written(linked.groupBy("label").agg(F.min("least").alias("component_id")), "components", rows)
     joined = linked.join(least, "label").select("fp", "component_id")
-    return written(classes.join(joined, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "fingerprint-components")
+    return written(classes.join(joined, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "fingerprint-components", rows)
 
 
 def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
@@ -291,9 +294,13 @@ def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random
     while len(rows) > 1:
         pivots, rest = rows[:FEW], rows[FEW:]
         yield from similar_links(pivots, part, radius, rng, shingle_radius, best)
-        d = near(rest, pivots)
-        yield from nearest(rest, pivots, d)
-        rows = rest[d.min(1) >= 64] if len(rest) else rest
+        left = []
+        for i in range(0, len(rest), 4096):
+            block = rest[i : i + 4096]
+            d = near(block, pivots)
+            yield from nearest(block, pivots, d)
+            left.append(block[d.min(1) >= 64])
+        rows = np.concatenate(left) if left else rest
 
 
 def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 7) -> DataFrame:
@@ -305,14 +312,16 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(x.as_py(), words) for x in batch.column(2).cast(pa.binary())]
+            found = [sketch(x.as_py(), words)[:3] for x in batch.column(2).cast(pa.binary())]
             fps = np.array([f[:2] for f in found], np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps[:, 0]), pa.array(fps[:, 1]), pa.array([f[2] for f in found], pa.binary())], ["id", "text_hash", "fp", "gram_fp", "key"])
 
     rows = written(source.mapInArrow(sketched, "id long, text_hash long, fp long, gram_fp long, key binary"), "sketches")
-    classes = written(rows.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("m"), F.min("fp").alias("fp"), F.min("gram_fp").alias("gram_fp")).select("key", F.col("m.id").alias("rep"), F.col("m.text_hash").alias("rep_hash"), "fp", "gram_fp"), "classes")
+    n = rows.count()
+    classes = written(rows.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("m"), F.min("fp").alias("fp"), F.min("gram_fp").alias("gram_fp")).select("key", F.col("m.id").alias("rep"), F.col("m.text_hash").alias("rep_hash"), "fp", "gram_fp"), "classes", n)
     found = search_shards(classes.withColumn("node", F.xxhash64("key")), ["fp", "gram_fp", "node"], radius, similar_links)
-    pairs = written(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "candidates")
+    pairs = written(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "candidates", 4 * n)
+    n_pairs = pairs.count()
     named = classes.select(F.xxhash64("key").alias("node"), "rep", "rep_hash")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named, "node")
 
@@ -322,7 +331,7 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "grams"])
 
     texts = source.join(wanted, (source["id"] == wanted["rep"]) & (source["text_hash"] == wanted["rep_hash"])).select("node", text)
-    sets = written(texts.mapInArrow(hashed, "node long, grams binary").dropDuplicates(["node"]), "shingle-sets")
+    sets = written(texts.mapInArrow(hashed, "node long, grams binary").dropDuplicates(["node"]), "shingle-sets", 20 * n_pairs)
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -334,11 +343,11 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
             yield batch.select(["u", "v"]).filter(pa.array(fine, pa.bool_()))
 
     joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
-    labels = components(joined.select("u", "v", "a", "b").mapInArrow(verified, "u long, v long"))
-    linked = written(labels.join(named, "node"), "linked-classes")
-    least = written(linked.groupBy("label").agg(F.min("rep").alias("group")), "groups")
+    labels = components(joined.select("u", "v", "a", "b").mapInArrow(verified, "u long, v long"), n_pairs)
+    linked = written(labels.join(named, "node"), "linked-classes", n)
+    least = written(linked.groupBy("label").agg(F.min("rep").alias("group")), "groups", n)
     of_node = linked.join(least, "label").select("node", "group")
-    of_class = written(classes.select("key", "rep", F.xxhash64("key").alias("node")).join(of_node, "node", "left").select("key", F.coalesce("group", "rep").alias("group")), "class-groups")
+    of_class = written(classes.select("key", "rep", F.xxhash64("key").alias("node")).join(of_node, "node", "left").select("key", F.coalesce("group", "rep").alias("group")), "class-groups", n)
     return rows.select("id", "text_hash", "key").join(of_class, "key").select("id", "text_hash", "group")
 
 
@@ -346,4 +355,4 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
     """docs with one document of each group: that of the smallest id. Rows that share this id and text all stay."""
     out = near_duplicate_groups(docs, id, text, **options).where("id <> group").select(F.struct("id", "text_hash").alias("__gone")).distinct()
     key = F.struct(null_first(F.col(id).cast("long")).alias("id"), F.xxhash64(text).alias("text_hash"))
-    return docs.join(written(out, "near-duplicates"), key == F.col("__gone"), "left_anti")
+    return docs.join(written(out, "near-duplicates", docs.count()), key == F.col("__gone"), "left_anti")
