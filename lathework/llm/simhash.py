@@ -30,6 +30,7 @@ from lathework.llm.components import components
 
 FULL = np.uint64(2**64 - 1)
 FEW = 192
+BUCKETS = 2**20
 
 
 def masks(radius: int) -> list[np.uint64]:
@@ -260,7 +261,8 @@ def sketch(text: bytes | None, words: int) -> tuple[int, int, bytes, np.ndarray]
 
 def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random.Generator, shingle_radius: int = 19, best: int = 3) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidates (ids) among rows of (word fingerprint, shingle fingerprint, id). In crowds, where nearly all are
-    near, each links to the `best` by shingle fingerprint of those before it or of a set of pivots."""
+    near, each links to the `best` by shingle fingerprint of those before it or of a set of pivots. This joins large
+    groups with few candidates; as it may miss pairs, a crowd's rows are also given as pairs with themselves."""
     if len(rows) < 2:
         return
 
@@ -291,6 +293,7 @@ def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random
             yield from similar_links(rows[inside], part, radius, rng, shingle_radius, best)
             yield from similar_links(rows[outside], part, radius, rng, shingle_radius, best)
             return
+    yield rows[:, 2], rows[:, 2]
     while len(rows) > 1:
         pivots, rest = rows[:FEW], rows[FEW:]
         yield from similar_links(pivots, part, radius, rng, shingle_radius, best)
@@ -303,10 +306,55 @@ def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random
         rows = np.concatenate(left) if left else rest
 
 
+def crowd_pairs(members: DataFrame, similarity: float, rows: int, part: int = 2048) -> DataFrame:
+    """(u, v): all pairs of (node, label, grams) that differ in label and may have the similarity. Shingles are ordered
+    by their counts (in buckets), rarest first. Two sets that are similar share one of the first shingles, and at the
+    first of these enough shingles follow in both. Shingles of many sets are joined in parts."""
+    spark = members.sparkSession
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            seen += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32) % BUCKETS, minlength=BUCKETS)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at])], ["bucket", "n"])
+
+    counts = members.select("grams").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
+    often = np.ones(BUCKETS, np.uint32)
+    often[counts["bucket"].to_numpy()] = np.minimum(counts["n"].to_numpy(), 2**32 - 1)
+    common = spark.sparkContext.broadcast(often)
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for i, data in enumerate(batch.column(2).to_pylist()):
+                grams = np.frombuffer(data, np.uint32)
+                n, size = common.value[grams % BUCKETS], len(grams)
+                order = np.lexsort((grams, n))
+                least = [size - int(np.ceil(share * size - 1e-6)) + 1 for share in (similarity, 2 * similarity / (1 + similarity))]
+                order = order[: least[0]]
+                at = np.arange(len(order))
+                row = np.stack([np.full(len(order), i), grams[order], at, np.full(len(order), size), at < least[1], -(-n[order].astype(np.int64) // part)], 1)
+                found.append(row[n[order] > 1])
+            rows = np.concatenate(found) if found else np.zeros((0, 6), np.int64)
+            own = pa.array(rows[:, 0])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), *(pa.array(rows[:, k]) for k in range(1, 6))], ["node", "label", "gram", "at", "size", "early", "parts"])
+
+    names = "node long, label long, gram long, at long, size long, early long, parts long"
+    first = written(members.select("node", "label", "grams").mapInArrow(firsts, names), "first-shingles")
+    a = first.where("early = 1").withColumn("part", F.pmod("node", "parts")).alias("a")
+    b = first.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
+    shorter = "a.label <> b.label AND (a.size < b.size OR a.size = b.size AND a.node < b.node)"
+    enough = f"least(a.size - a.at, b.size - b.at) >= {similarity / (1 + similarity)!r} * (a.size + b.size) - 1e-6"
+    found = a.join(b, F.expr(f"a.gram = b.gram AND a.part = b.part AND {shorter} AND {enough}"))
+    return written(found.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct(), "crowd-candidates", rows)
+
+
 def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 7) -> DataFrame:
     """(id, text_hash, group): group is the smallest id reached by links of at least this Jaccard similarity of
     distinct word shingles. Equal word sequences are one class. Candidates are classes whose word fingerprints are
-    within the radius (found through the trees) and whose shingle fingerprints are near; every one is verified."""
+    within the radius (found through the trees) and whose shingle fingerprints are near; every one is verified. In
+    crowds, candidates are then all classes that are not linked yet and share enough shingles."""
     source = docs.select(null_first(F.col(id).cast("long")).alias("id"), F.xxhash64(text).alias("text_hash"), text)
     small_batches(docs.sparkSession)
 
@@ -320,10 +368,11 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
     n = rows.count()
     classes = written(rows.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("m"), F.min("fp").alias("fp"), F.min("gram_fp").alias("gram_fp")).select("key", F.col("m.id").alias("rep"), F.col("m.text_hash").alias("rep_hash"), "fp", "gram_fp"), "classes", n)
     found = search_shards(classes.withColumn("node", F.xxhash64("key")), ["fp", "gram_fp", "node"], radius, similar_links)
-    pairs = written(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "candidates", 4 * n)
-    n_pairs = pairs.count()
+    found = written(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "candidates", 4 * n)
+    pairs, crowd = found.where("u <> v"), found.where("u = v").select(F.col("u").alias("node"))
+    n_pairs, n_crowd = pairs.count(), crowd.count()
     named = classes.select(F.xxhash64("key").alias("node"), "rep", "rep_hash")
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named, "node")
+    wanted = found.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named, "node")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,7 +380,7 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "grams"])
 
     texts = source.join(wanted, (source["id"] == wanted["rep"]) & (source["text_hash"] == wanted["rep_hash"])).select("node", text)
-    sets = written(texts.mapInArrow(hashed, "node long, grams binary").dropDuplicates(["node"]), "shingle-sets", 20 * n_pairs)
+    sets = written(texts.mapInArrow(hashed, "node long, grams binary").dropDuplicates(["node"]), "shingle-sets", 20 * n_pairs + n_crowd)
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -342,8 +391,17 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
                 fine.append(both >= similarity * (len(a) + len(b) - both) - 1e-9)
             yield batch.select(["u", "v"]).filter(pa.array(fine, pa.bool_()))
 
-    joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
-    labels = components(joined.select("u", "v", "a", "b").mapInArrow(verified, "u long, v long"), n_pairs)
+    def similar(pairs: DataFrame, rows: int) -> DataFrame:
+        joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
+        return written(joined.select("u", "v", "a", "b").mapInArrow(verified, "u long, v long"), "similar-pairs", rows)
+
+    edges = similar(pairs, n_pairs)
+    labels = components(edges, n_pairs)
+    if n_crowd:
+        members = sets.join(crowd, "node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "grams")
+        more = crowd_pairs(members, similarity, 4 * n)
+        n_more = more.count()
+        labels = components(edges.unionByName(similar(more, n_more)), n_pairs + n_more)
     linked = written(labels.join(named, "node"), "linked-classes", n)
     least = written(linked.groupBy("label").agg(F.min("rep").alias("group")), "groups", n)
     of_node = linked.join(least, "label").select("node", "group")

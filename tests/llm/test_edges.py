@@ -1,7 +1,9 @@
 """Every operator on tables with nulls, ties, long texts and repeats, on empty tables, and with clashing columns."""
 
 import hashlib
+import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -113,6 +115,33 @@ def test_near_duplicates_by_similarity(spark):
     assert drop_near_duplicates(empty(spark)).count() == 0
 
 
+def template_texts(families: int, copies: int) -> list[tuple]:
+    """Texts of the same words that differ in the order of 30 of 240, and near copies of some."""
+    r = random.Random(11)
+    names = [f"w{i:03d}" for i in range(240)]
+    slots = [r.sample(names[210:], 30) for _ in range(families)]
+    slots += [s[:24] + s[24:][::-1] for s in r.sample(slots, copies)]
+    return [(i, " ".join(names[:210] + s), "x", "y") for i, s in enumerate(slots)]
+
+
+def groups_by_brute_force(rows: list[tuple], similarity: float = 0.8) -> set[tuple]:
+    sets = [set(shingles(t.encode(), 5)) for _, t, *_ in rows]
+    group = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if both >= similarity * (len(sets[i]) + len(sets[j]) - both) and group[i] != group[j]:
+            group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    return {(rows[i][0], rows[g][0]) for i, g in enumerate(group)}
+
+
+def test_near_duplicates_in_a_crowd(spark):
+    rows = template_texts(500, 100)
+    want = groups_by_brute_force(rows)
+    assert sum(i != g for i, g in want) == 100
+    assert {(r.id, r.group) for r in near_duplicate_groups(frame(spark, rows)).collect()} == want
+
+
+
 # 7
 
 
