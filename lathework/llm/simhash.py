@@ -262,7 +262,8 @@ def sketch(text: bytes | None, words: int) -> tuple[int, int, bytes, np.ndarray]
 def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random.Generator, shingle_radius: int = 19, best: int = 3) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidates (ids) among rows of (word fingerprint, shingle fingerprint, id). In crowds, where nearly all are
     near, each links to the `best` by shingle fingerprint of those before it or of a set of pivots. This joins large
-    groups with few candidates; as it may miss pairs, a crowd's rows are also given as pairs with themselves."""
+    groups with few candidates; as it may miss pairs, a crowd's rows, also those of a small group with very many
+    candidates, are given as pairs with themselves too."""
     if len(rows) < 2:
         return
 
@@ -283,6 +284,8 @@ def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random
         i, j = np.nonzero(d < 64)
         if len(i) > 6 * len(rows):
             yield from nearest(rows, rows, d)
+            some = rows[np.union1d(i, j), 2]
+            yield some, some
         elif len(i):
             yield rows[i, 2], rows[j, 2]
         return

@@ -141,6 +141,13 @@ def test_near_duplicates_in_a_crowd(spark):
     assert {(r.id, r.group) for r in near_duplicate_groups(frame(spark, rows)).collect()} == want
 
 
+def test_near_duplicates_in_a_dense_leaf(spark):
+    rows = template_texts(110, 60)
+    want = groups_by_brute_force(rows)
+    assert sum(i != g for i, g in want) == 60
+    assert {(r.id, r.group) for r in near_duplicate_groups(frame(spark, rows)).collect()} == want
+
+
 
 # 7
 
