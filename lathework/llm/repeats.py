@@ -6,14 +6,19 @@ cannot be extended to the right. Extending such a group to the left as far as it
 they do not (the left-extension test), gives maximal repeat groups with all their occurrences.
 
 To do this for a corpus, every run of `least` bytes is represented by its minimizer, the k-byte string in it of the
-smallest hash: equal runs have equal minimizers. Chunks of documents send minimizers with a hash of their surroundings
-(all runs they can represent). Where the same surroundings are in an earlier document, all those runs are repeats; where
-a minimizer has several surroundings, and only there, these are sent and go into the suffix array of their minimizer.
-Minimizers with very many surroundings are split into bands by a longer core that all runs of a band contain.
+smallest hash: equal runs have equal minimizers. A chunk of documents sends each distinct pair of a minimizer and a
+hash of its surroundings (all runs it can represent) once, with the earliest document that has it, however often it
+occurs. Where the same surroundings are in an earlier document, all those runs are repeats; where a minimizer has
+several surroundings, and only there, the earliest holder of each sends them once, and they go into the suffix array of
+their minimizer. Minimizers with very many surroundings are split into bands by a longer core that all runs of a band
+contain. Answers go back to the chunk, which knows all occurrences.
+
+Buckets of minimizers grow in number with the input, so what a task holds of it does not depend on the input's size.
 
 Defined results: a null text is empty and stays so. Rows that share an id are the same document, so they do not remove
-each other's text. Null ids come before all others. Texts below `least` bytes are never touched. Minimizers and
-surroundings are told apart by 39 or more, and 48 more, hash bits. Columns beside id and text are not looked at.
+each other's text. Ids are whole numbers; null ids come before all others. Texts below `least` bytes are never touched.
+Equal surroundings are told by 96 hash bits and those of the bucket; different ones are compared byte by byte. Columns
+beside id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -139,7 +144,7 @@ def slid(x: np.ndarray, width: int) -> np.ndarray:
 
 
 class Anchors:
-    """The minimizers of a chunk: document, position, hash, hash of the surroundings; sorted by bucket."""
+    """The minimizers of a chunk: document, position, hash, hash of the surroundings; by position."""
 
     def __init__(self, data: np.ndarray, sizes: np.ndarray, least: int, k: int, buckets: int):
         self.reach = least - k
@@ -157,13 +162,10 @@ class Anchors:
         if len(place):
             _, keep = np.unique(place, return_index=True)
             doc, place, h, c = doc[keep], place[keep], h[keep], c[keep]
-        owner = (h >> np.uint64(64 - (buckets.bit_length() - 1))).astype(np.int64)
-        order = np.argsort(owner, kind="stable")
-        self.doc, self.place, self.hash, self.around, self.owner = doc[order], place[order], h[order], c[order], owner[order]
+        self.owner = (h >> np.uint64(64 - (buckets.bit_length() - 1))).astype(np.int64)
+        self.doc, self.place, self.hash, self.around = doc, place, h, c
         self.left = np.minimum(self.reach, self.place - starts[self.doc])
         self.right = np.minimum(least, ends[self.doc] - self.place)
-        cuts = np.flatnonzero(np.diff(self.owner, prepend=-1, append=-1))
-        self.parts = [(int(self.owner[i]), slice(i, j)) for i, j in zip(cuts[:-1], cuts[1:], strict=True)] if len(self.owner) else []
 
     def _block(self, data, starts, ends, a, z, low, high, least, k, docs, places, hashes, around) -> None:
         part = data[low:high]
@@ -192,7 +194,41 @@ class Anchors:
         docs.append(doc)
         places.append(at + low)
         hashes.append(stirred(h[at] * np.uint64(0x9E3779B97F4A7C15)))  # minimizers have small hashes: mixed again for even buckets
-        around.append(c >> np.uint64(16))
+        around.append(c)
+
+
+class Items:
+    """The distinct (minimizer, surroundings) of a chunk, sorted by bucket and the smallest rank that has them."""
+
+    def __init__(self, x: Anchors, ranks: np.ndarray):
+        rank = ranks[x.doc]
+        order = np.lexsort((x.place, rank, x.around, x.hash))
+        h, c = x.hash[order], x.around[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (c[1:] != c[:-1])) if len(order) else np.zeros(0, bool)
+        first = order[new]
+        by_bucket = np.lexsort((rank[first], x.owner[first]))
+        place = np.empty_like(by_bucket)
+        place[by_bucket] = np.arange(len(by_bucket))
+        self.first = first[by_bucket]
+        self.rank = rank[self.first]
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = place[np.cumsum(new) - 1]
+        self.later = rank > self.rank[self.of] if len(order) else np.zeros(0, bool)
+        self.anchors = x
+        cuts = np.flatnonzero(np.diff(x.owner[self.first], prepend=-1, append=-1)) if len(first) else []
+        self.parts = [(int(x.owner[self.first[a]]), slice(a, z)) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def runs(self, wanted: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the items in the mask: (item, document, first, last) of their occurrences of the smallest rank, those at
+        most `least` bytes apart together, as the runs around them overlap."""
+        x = self.anchors
+        at = np.flatnonzero(wanted[self.of] & ~self.later) if len(self.of) else np.zeros(0, np.int64)
+        at = at[np.lexsort((x.place[at], self.of[at]))]
+        item, doc, place = self.of[at], x.doc[at], x.place[at]
+        new = np.append(True, (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > least)) if len(at) else np.zeros(0, bool)
+        starts = np.flatnonzero(new)
+        last = np.append(starts[1:], len(at)) - 1 if len(at) else starts
+        return item[starts], doc[starts], place[starts], place[last]
 
 
 # Chunks and buckets
@@ -257,10 +293,10 @@ def opened(data: bytes) -> np.ndarray:
 
 
 def verdicts(parts: list[dict], crowd: int) -> list[np.ndarray]:
-    """For every minimizer 1: an earlier document has the same surroundings; 2 or 3: it has other surroundings too, few
-    or many; 0: neither."""
+    """For every item 1: an earlier document has the same minimizer and surroundings; 2 or 3: the minimizer has other
+    surroundings too, few or many; 0: neither."""
     h = np.concatenate([p["h"] for p in parts])
-    c = np.concatenate([p["c_high"].astype(np.uint64) << np.uint64(32) | p["c_low"].astype(np.uint64) for p in parts])
+    c = np.concatenate([p["c"] for p in parts])
     rank = np.concatenate([p["ranks"][p["doc"]] for p in parts])
     order = np.lexsort((rank, c, h))
     h, c, rank = h[order], c[order], rank[order]
@@ -280,10 +316,10 @@ def bands(reach: int, least: int, width: int = 6) -> list[tuple[int, int]]:
 
 
 def located(parts: list[dict], least: int) -> list[list[tuple[int, int, int]]]:
-    """For each part the (document, start, stop) that a member of a smaller rank has too."""
+    """For each part the (entry, left, right) that a member of a smaller rank has too."""
     key = np.concatenate([p["key"] for p in parts])
     of = np.repeat(np.arange(len(parts)), [len(p["key"]) for p in parts])
-    item = np.concatenate([np.arange(len(p["key"])) for p in parts])
+    entry = np.concatenate([np.arange(len(p["key"])) for p in parts])
     order = np.argsort(key, kind="stable")
     cuts = np.flatnonzero(np.diff(key[order], prepend=key[order[0]] + np.uint64(1), append=key[order[-1]] + np.uint64(1)))
     found: list[list[tuple[int, int, int]]] = [[] for _ in parts]
@@ -293,7 +329,7 @@ def located(parts: list[dict], least: int) -> list[list[tuple[int, int, int]]]:
             continue
         members, lefts, rights, ranks = [], [], [], []
         for i in order[a:z].tolist():
-            p, j = parts[of[i]], int(item[i])
+            p, j = parts[of[i]], int(entry[i])
             stop, l = int(bounds[of[i]][j]), int(p["left"][j])
             start = stop - l - int(p["right"][j])
             members.append((int(of[i]), j))
@@ -307,11 +343,18 @@ def located(parts: list[dict], least: int) -> list[list[tuple[int, int, int]]]:
                 if ranks[i] > lowest and l > farthest[i]:
                     farthest[i] = l
                     part, j = members[i]
-                    place = int(parts[part]["place"][j])
-                    found[part].append((int(parts[part]["doc"][j]), place - l, place + r))
+                    found[part].append((j, l, r))
     return found
 
 
+def spans_of(part: dict, found: list[tuple[int, int, int]]) -> dict[str, np.ndarray]:
+    """(document, start, stop) of all occurrences of the entries found."""
+    j, l, r = np.array(found, np.int64).T
+    n = part["n_runs"].astype(np.int64)
+    at = np.repeat((np.cumsum(n) - n)[j] - (np.cumsum(n[j]) - n[j]), n[j]) + np.arange(n[j].sum())
+    return {"doc": part["doc"][at].astype(np.int64), "start": part["first"][at] - np.repeat(l, n[j]), "stop": part["last"][at] + np.repeat(r, n[j])}
+
+
 def covered(spans: np.ndarray) -> list[tuple[int, int]]:
     """Union of (start, stop) rows as maximal runs."""
     out: list[tuple[int, int]] = []
@@ -323,81 +366,93 @@ def covered(spans: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 50, k: int = 20, chunk_bytes: int = 4 << 20, crowd: int = 2000, with_text: bool = False) -> DataFrame:
+def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 50, k: int = 20, chunk_bytes: int = 1 << 20, bucket_bytes: int = 32 << 20, crowd: int = 2000, with_text: bool = False) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept, spans]) for each row of docs: removed is every byte inside
     a run of `least` bytes that also starts in a document of a smaller id. kept and spans are the bytes that stay and
-    the (start, stop) of what went."""
+    the (start, stop) of what went. A bucket gets the minimizers of about bucket_bytes of text."""
     spark = docs.sparkSession
     width = partitions(spark)
     small_batches(spark)
-    buckets = 1 << max(4, (2 * width - 1).bit_length())
     chunks = written(chunked(docs, id, text, chunk_bytes), "repeat-chunks")
+    total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    buckets = 1 << max(4, (max(2 * width, total // bucket_bytes) - 1).bit_length())
+    tasks = min(buckets, max(width, buckets // 4))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, data, sizes, ranks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x = Anchors(opened(data), np.array(sizes, np.int64), least, k, buckets)
-                ranks, low = np.array(ranks, np.int64), np.uint64(2**32 - 1)
-                h = (x.hash << np.uint64(buckets.bit_length() - 1)) >> np.uint64(32)
-                for bucket, own in x.parts:
-                    docs_here, doc = np.unique(x.doc[own], return_inverse=True)
-                    fields = {"h": h[own].astype(np.uint32), "c_low": (x.around[own] & low).astype(np.uint32), "c_high": (x.around[own] >> np.uint64(32)).astype(np.uint16), "doc": np.diff(doc, prepend=0).astype(np.int16 if len(docs_here) < 1 << 15 else np.int64), "ranks": np.diff(ranks[docs_here], prepend=0)}
-                    yield sent_rows((0, chunk, bucket, squeezed(**fields)))
+                items = Items(x, np.array(ranks, np.int64))
+                h = ((x.hash[items.first] << np.uint64(buckets.bit_length() - 1)) >> np.uint64(32)).astype(np.uint32)
+                rows = []
+                for bucket, own in items.parts:
+                    here, doc = np.unique(items.rank[own], return_inverse=True)
+                    rows.append((0, chunk, bucket, squeezed(h=h[own], c=x.around[items.first[own]], doc=np.diff(doc, prepend=0).astype(np.int16 if len(here) < 1 << 15 else np.int64), ranks=np.diff(here, prepend=0))))
+                if rows:
+                    yield sent_rows(*rows)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in by_first(batches):
             parts = [restored(r[2]) for r in rows]
             for p in parts:
                 p["doc"], p["ranks"] = np.cumsum(p["doc"].astype(np.int64)), np.cumsum(p["ranks"])
-            for r, v in zip(rows, verdicts(parts, crowd), strict=True):
-                if v.any():
-                    yield sent_rows((1, r[1], bucket, squeezed(v=v)))
+            rows = [(1, r[1], bucket, squeezed(v=v)) for r, v in zip(rows, verdicts(parts, crowd), strict=True) if v.any()]
+            if rows:
+                yield sent_rows(*rows)
 
     def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, rows in by_first(batches):
-            if rows[0][1] != 0 or len(rows) == 1:
-                continue
             data, sizes = opened(rows[0][3]), np.array(rows[0][4], np.int64)
-            ranks = np.array(rows[0][5], np.int64)
             x = Anchors(data, sizes, least, k, buckets)
-            flags = np.zeros(len(x.doc), np.uint8)
-            parts = dict(x.parts)
+            items = Items(x, np.array(rows[0][5], np.int64))
+            flags = np.zeros(len(items.first), np.uint8)
+            parts = dict(items.parts)
             for r in rows[1:]:
                 flags[parts[r[2]]] = restored(r[3])["v"]
-            same = np.flatnonzero((flags == 1) & (x.left + x.right >= least))
+            same = np.flatnonzero((items.later | (flags[items.of] == 1)) & (x.left + x.right >= least))
             if len(same):
-                yield sent_rows((2, chunk, -1, squeezed(doc=x.doc[same], start=x.place[same] - x.left[same], stop=x.place[same] + x.right[same])))
+                gone = np.stack([x.doc[same], x.place[same] - x.left[same], x.place[same] + x.right[same]], 1)
+                new = np.append(True, (gone[1:, 0] != gone[:-1, 0]) | (gone[1:, 1] > np.maximum.accumulate(gone[:, 2])[:-1]))
+                starts = np.flatnonzero(new)
+                yield sent_rows((2, chunk, -1, squeezed(doc=gone[starts, 0], start=gone[starts, 1], stop=np.maximum.reduceat(gone[:, 2], starts))))
+            left, right = x.left[items.first], x.right[items.first]
             few = np.flatnonzero(flags == 2)
-            key, at, left, right = [x.hash[few]], [few], [x.left[few]], [x.right[few]]
+            key, at, lefts, rights = [x.hash[items.first[few]]], [few], [left[few]], [right[few]]
             for t, u in bands(x.reach, least):  # a crowd's runs that start t to u bytes before the minimizer
-                many = np.flatnonzero((flags == 3) & (x.left >= t) & (x.right >= least - u))
-                core = [xxhash.xxh3_64_intdigest(data[p - t : p + least - u].tobytes(), t) for p in x.place[many].tolist()]
+                many = np.flatnonzero((flags == 3) & (left >= t) & (right >= least - u))
+                core = [xxhash.xxh3_64_intdigest(data[p - t : p + least - u].tobytes(), t) for p in x.place[items.first[many]].tolist()]
                 key.append(np.array(core, np.uint64))
                 at.append(many)
-                left.append(np.minimum(x.left[many], u))
-                right.append(np.minimum(x.right[many], least - t))
-            key, at, left, right = map(np.concatenate, (key, at, left, right))
+                lefts.append(np.minimum(left[many], u))
+                rights.append(np.minimum(right[many], least - t))
+            key, at, left, right = map(np.concatenate, (key, at, lefts, rights))
             if not len(key):
                 continue
+            run_item, run_doc, run_first, run_last = items.runs(flags >= 2, least)
+            low, high = np.searchsorted(run_item, at, side="left"), np.searchsorted(run_item, at, side="right")
             owner = (stirred(key) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(owner, kind="stable")
             cuts = np.flatnonzero(np.diff(owner[order], prepend=-1, append=-1))
+            rows = []
             for a, z in zip(cuts[:-1], cuts[1:], strict=True):
                 own = order[a:z]
-                place = x.place[at[own]]
+                place = x.place[items.first[at[own]]]
                 body = b"".join(data[p - l : p + r].tobytes() for p, l, r in zip(place.tolist(), left[own].tolist(), right[own].tolist(), strict=True))
-                doc = x.doc[at[own]]
-                yield sent_rows((3, chunk, int(owner[own[0]]), squeezed(key=key[own], doc=doc.astype(np.uint32), rank=ranks[doc], place=place, left=left[own].astype(np.uint16), right=right[own].astype(np.uint16), bytes=body)))
+                n = high[own] - low[own]
+                run = np.repeat(low[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                rows.append((3, chunk, int(owner[own[0]]), squeezed(key=key[own], rank=items.rank[at[own]], left=left[own].astype(np.uint16), right=right[own].astype(np.uint16), bytes=body, n_runs=n.astype(np.uint32), doc=run_doc[run].astype(np.uint32), first=run_first[run], last=run_last[run])))
+            for i in range(0, len(rows), 64):
+                yield sent_rows(*rows[i : i + 64])
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in by_first(batches):
             if bucket < 0:
                 yield from (sent_rows((2, r[2], -1, r[3])) for r in rows)
                 continue
-            for r, spans in zip(rows, located([restored(r[3]) for r in rows], least), strict=True):
-                if spans:
-                    doc, start, stop = np.array(spans, np.int64).T
-                    yield sent_rows((2, r[2], bucket, squeezed(doc=doc, start=start, stop=stop)))
+            parts = [restored(r[3]) for r in rows]
+            for r, part, found in zip(rows, parts, located(parts, least), strict=True):
+                if found:
+                    yield sent_rows((2, r[2], bucket, squeezed(**spans_of(part, found))))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_first(batches):
@@ -422,14 +477,14 @@ def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
             yield pa.RecordBatch.from_arrays([pa.array(ids, key_type), *(pa.array(c, t) for c, t in zip(columns, arrow_types, strict=True))], names)
 
     requests = chunks.select("chunk", "data", "sizes", "ranks").mapInArrow(asked, ROW_SQL)
-    dealt = requests.select("bucket", "chunk", "data").repartition(min(buckets, width), "bucket").sortWithinPartitions("bucket", "chunk")
+    dealt = requests.select("bucket", "chunk", "data").repartition(tasks, "bucket").sortWithinPartitions("bucket", "chunk")
     replies = written(dealt.mapInArrow(judged, ROW_SQL), "repeat-verdicts")
     texts = chunks.select("chunk", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("bucket"), "data", "sizes", "ranks", "ids")
     nothing = [F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in ("sizes", "ranks", "ids")]
     both = texts.unionByName(replies.select("chunk", "kind", "bucket", "data", *nothing)).repartition(width, "chunk").sortWithinPartitions("chunk", "kind", "bucket")
     around = both.mapInArrow(settled, ROW_SQL)
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("chunk"), F.lit(buckets))).otherwise(F.col("bucket")).alias("bucket")
-    grouped = around.select(spread, "kind", "chunk", "data").repartition(min(buckets, width), "bucket").sortWithinPartitions("bucket", "chunk")
+    grouped = around.select(spread, "kind", "chunk", "data").repartition(tasks, "bucket").sortWithinPartitions("bucket", "chunk")
     spans = written(grouped.mapInArrow(searched, ROW_SQL), "repeat-spans")
     final = texts.unionByName(spans.select("chunk", "kind", "bucket", "data", *nothing)).repartition(width, "chunk").sortWithinPartitions("chunk", "kind", "bucket")
     key = docs.schema[id].dataType

@@ -206,13 +206,31 @@ def brute_repeats(rows, least=50):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("options", [{}, {"crowd": 1, "chunk_bytes": 20_000}])
+@pytest.mark.parametrize("options", [{}, {"crowd": 1, "chunk_bytes": 20_000}, {"chunk_bytes": 3_000, "bucket_bytes": 2_000}])
 def test_repeats(spark, options):
     rows = documents()
     assert collected(drop_repeats(frame(spark), **options)) == brute_repeats(rows)
     assert drop_repeats(empty(spark)).count() == 0
 
 
+def test_repeats_in_constant_and_periodic_texts(spark):
+    r = random.Random(4)
+    word = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    line = "a line that stands here very often indeed"
+    texts = [" " * 3000, word(300) + " " * 2000 + word(80), "ab" * 900, word(30) + "ab" * 300 + word(60), f"{line}\n" * 60, word(70) + f"{line}\n" * 3 + word(9), " " * 51, "b" + "ab" * 26, " " * 49, line * 2]
+    rows = [(i, t, "x", "y") for i, t in enumerate(texts + texts[::-1])]
+    r.shuffle(rows)
+    for options in ({}, {"crowd": 1, "chunk_bytes": 1000}):
+        assert collected(drop_repeats(frame(spark, rows), **options)) == brute_repeats(rows)
+
+
+def test_repeats_in_very_long_monotonous_texts(spark):
+    line = "one line that is repeated in this text very often\n"
+    rows = [(1, " " * 5_000_000, "x", "y"), (2, " " * 5_000_000 + "end", "x", "y"), (3, line * 100_000, "x", "y"), (4, "start " + line * 100_000, "x", "y")]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in drop_repeats(frame(spark, rows)).collect()}
+    assert got == {1: (5_000_000, 0, 0), 2: (5_000_003, 5_000_000, 1), 3: (5_000_000, 0, 0), 4: (5_000_006, 5_000_000, 1)}
+
+
 def test_repeats_with_text(spark):
     r = next(x for x in drop_repeats(frame(spark), with_text=True).collect() if x.doc_id == 14)
     text = next(t for i, t, *_ in documents() if i == 14).encode()
