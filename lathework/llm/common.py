@@ -42,6 +42,14 @@ def written(df: DataFrame, what: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, nothing else."""
     return F.translate(text, UPPER, LOWER)

@@ -14,7 +14,7 @@ columns named n_lines or n_dropped are replaced. An empty table gives an empty r
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import null_first, partitions, small_batches, written
+from lathework.llm.common import fresh, null_first, partitions, small_batches, written
 
 FLUSH = 1 << 20
 PROBES = 4
@@ -88,18 +88,16 @@ def twice_seen(blobs: list[np.ndarray], repeated: list[np.ndarray]) -> np.ndarra
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
-class LineFilters:
+class HashFilters:
     """Twice-seen filters by hash range."""
 
     def __init__(self, buckets: int, filters: Iterable[tuple[int, int, bytes]]):
         self.shift = np.uint64(64 - (buckets.bit_length() - 1))
         self.parts = {b: (bits, data) for b, bits, data in filters}
 
-    def suspects(self, texts: list[set[bytes]]) -> list[list[bytes]]:
-        """Of each document's keys those that may occur in other documents."""
-        flat = [k for keys in texts for k in keys]
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat))
-        found = np.zeros(len(flat), bool)
+    def may_repeat(self, hashes: np.ndarray) -> np.ndarray:
+        """For each hash whether it may occur more than once; never false for one that does."""
+        found = np.zeros(len(hashes), bool)
         owner = (hashes >> self.shift).astype(np.int64)
         order = np.argsort(owner, kind="stable")
         cuts = np.flatnonzero(np.diff(owner[order], prepend=-1, append=-1))
@@ -108,16 +106,23 @@ class LineFilters:
                 if not isinstance(part, Bloom):
                     part = self.parts[int(owner[order[a]])] = Bloom(*part)
                 found[order[a:z]] = part.has(hashes[order[a:z]])
-        hit, out, at = found.tolist(), [], 0
+        return found
+
+    def suspects(self, texts: list[set[bytes]]) -> list[list[bytes]]:
+        """Of each document's keys those that may occur in other documents."""
+        flat = [k for keys in texts for k in keys]
+        hit = self.may_repeat(np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat))).tolist()
+        out, at = [], 0
         for keys in texts:
             out.append([k for k, ok in zip(flat[at : at + len(keys)], hit[at : at + len(keys)], strict=True) if ok])
             at += len(keys)
         return out
 
 
-def line_filters(docs: DataFrame, text: str, least: int, filter_bytes: int) -> LineFilters:
-    """Builds the filters; what reaches the driver is at most filter_bytes."""
-    width = partitions(docs.sparkSession)
+def hash_filters(source: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], filter_bytes: int) -> HashFilters:
+    """Filters of the hashes that more than one of the arrays from hashes_of holds (each holds distinct ones). What
+    reaches the driver is at most filter_bytes."""
+    width = partitions(source.sparkSession)
     buckets = 1 << max(6, (4 * width - 1).bit_length())
     shift, share = np.uint64(64 - (buckets.bit_length() - 1)), max(64, filter_bytes * 8 // buckets)
     share = 1 << (share.bit_length() - 1)
@@ -131,14 +136,15 @@ def line_filters(docs: DataFrame, text: str, least: int, filter_bytes: int) -> L
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[np.ndarray] = []
+        held = 0
         for batch in batches:
-            for x in batch.column(0).cast(pa.binary()):
-                keys = keys_of(x.as_py(), least)
-                if keys:
-                    parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys)))
-            if sum(map(len, parts)) > FLUSH:
-                yield from emit(parts)
-                parts = []
+            for own in hashes_of(batch):
+                if len(own):
+                    parts.append(own)
+                    held += len(own)
+                if held > FLUSH:
+                    yield from emit(parts)
+                    parts, held = [], 0
         if parts:
             yield from emit(parts)
 
@@ -161,9 +167,18 @@ def line_filters(docs: DataFrame, text: str, least: int, filter_bytes: int) -> L
         if blobs:
             yield close(bucket, blobs, again)
 
-    sent = docs.select(text).mapInArrow(hashed, "bucket long, seen binary, again binary")
+    sent = source.mapInArrow(hashed, "bucket long, seen binary, again binary")
     rows = sent.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(reduced, "bucket long, bits long, data binary").collect()
-    return LineFilters(buckets, [(r.bucket, r.bits, bytes(r.data)) for r in rows])
+    return HashFilters(buckets, [(r.bucket, r.bits, bytes(r.data)) for r in rows])
+
+
+def line_filters(docs: DataFrame, text: str, least: int, filter_bytes: int) -> HashFilters:
+    def hashes_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for x in batch.column(0).cast(pa.binary()):
+            keys = keys_of(x.as_py(), least)
+            yield np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
+
+    return hash_filters(docs.select(text), hashes_of, filter_bytes)
 
 
 def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = 20, min_docs: int = 3, filter_bytes: int = 64 << 20) -> DataFrame:
@@ -174,6 +189,7 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
+    own_id, own_lost = fresh(docs, "own_id"), fresh(docs, "own_lost")
     small_batches(spark)
     filters = spark.sparkContext.broadcast(line_filters(docs, text, least, filter_bytes))
     names = docs.columns
@@ -189,7 +205,7 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
     pairs = written(pairs.groupBy("id", "key").agg(F.lit(1).alias("one")).select("id", "key"), "line-suspects")
     confirmed = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
     confirmed = written(confirmed.select("key", "keeper"), "repeated-lines", pairs.count())  # so that the next join shuffles both sides and AQE can split a hot key
-    losses = pairs.join(confirmed, "key").where("id <> keeper").groupBy("id").agg(F.collect_list("key").alias("__lost")).withColumnRenamed("id", "__id")
+    losses = pairs.join(confirmed, "key").where("id <> keeper").groupBy("id").agg(F.collect_list("key").alias(own_lost)).withColumnRenamed("id", own_id)
 
     def split(want: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +222,7 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lost_at = batch.schema.get_field_index("__lost")
+            lost_at = batch.schema.get_field_index(own_lost)
             out, n = [], []
             for x, lost in zip(batch.column(at_text).cast(pa.binary()).to_pylist(), batch.column(lost_at).to_pylist(), strict=True):
                 if not lost:
@@ -224,5 +240,5 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in docs.schema] + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     clean = docs.mapInArrow(split(False), schema)
-    mixed = docs.mapInArrow(split(True), schema).withColumn("__id", null_first(F.col(id).cast("long"))).join(losses, "__id", "left").drop("__id")
+    mixed = docs.mapInArrow(split(True), schema).withColumn(own_id, null_first(F.col(id).cast("long"))).join(losses, own_id, "left").drop(own_id)
     return clean.unionByName(mixed.mapInArrow(removed, schema))

@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import null_first, partitions, small_batches, written
+from lathework.llm.common import fresh, null_first, partitions, small_batches, written
 from lathework.llm.components import components
+from lathework.llm.line_dedup import hash_filters
 
 FULL = np.uint64(2**64 - 1)
 FEW = 192
@@ -93,7 +94,7 @@ def best_node(fps: np.ndarray, part: np.uint64, radius: int, rng: np.random.Gene
     for vantage in probe[rng.choice(len(probe), min(tries, len(probe)), replace=False)]:
         for mask, reach in ((part, 1), (FULL, radius)):
             d = np.bitwise_count((probe ^ vantage) & mask)
-            upto = np.cumsum(np.bincount(d, minlength=72)) / len(probe)
+            upto = np.cumsum(np.bincount(d, minlength=65 + reach)) / len(probe)
             for mu in range(64):
                 inside, outside = upto[mu + reach], 1 - upto[mu]
                 if outside and inside < 1 and (cost := inside**2 + outside**2) < least:
@@ -244,152 +245,198 @@ def simhash_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", word
 # Near duplicates by similarity of texts
 
 
-def sketch(text: bytes | None, words: int) -> tuple[int, int, bytes, np.ndarray]:
-    """Fingerprint of the words (weights: roots of counts), of the shingles, key of the words, hashes of the shingles."""
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def majority(h: np.ndarray, weight: np.ndarray | None = None) -> int:
+    """64 bits, each 1 if it is set in over half (of the weight) of the hashes."""
+    if not len(h):
+        return 0
+    ones, total = np.zeros(64), len(h) if weight is None else weight.sum()
+    for i in range(0, len(h), 65536):
+        bits = np.unpackbits(h[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(0, dtype=np.int64) if weight is None else weight[i : i + 65536] @ bits
+    return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
+
+
+def gram_hashes(text: bytes | None, words: int) -> np.ndarray:
+    """Hashes of the distinct shingles, sorted."""
+    grams = shingles(text, words)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, len(grams)))
+
+
+def sketch(text: bytes | None, words: int) -> tuple[int, int, int, bytes]:
+    """Fingerprint of the words (weights: roots of counts), two halves of one of the shingles, key of the words."""
     w = (text or b"").lower().split()
     counts = Counter(w)
     h = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
-    weight = np.sqrt(np.fromiter(counts.values(), float, len(counts)))
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    by_words = int(np.packbits(2 * (weight @ bits) > weight.sum(), bitorder="little").view(np.uint64)[0]) if len(h) else 0
-    grams = shingles(text, words)
-    hashes = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, len(grams)))
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    by_grams = int(np.packbits(2 * bits > len(hashes), bitorder="little").view(np.uint64)[0])
-    return by_words, by_grams, xxhash.xxh3_128_digest(b" ".join(w)), hashes
+    by_words = majority(h, np.sqrt(np.fromiter(counts.values(), float, len(counts))))
+    grams = gram_hashes(text, words)
+    return by_words, majority(grams), majority(mixed(grams)), xxhash.xxh3_128_digest(b" ".join(w))
 
 
-def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random.Generator, shingle_radius: int = 19, best: int = 3) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidates (ids) among rows of (word fingerprint, shingle fingerprint, id). In crowds, where nearly all are
-    near, each links to the `best` by shingle fingerprint of those before it or of a set of pivots. This joins large
-    groups with few candidates; as it may miss pairs, a crowd's rows, also those of a small group with very many
-    candidates, are given as pairs with themselves too."""
+def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random.Generator, gram_radius: int = 34, most: int = 6, whole: int = 32768) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidates (nodes) among rows of (word fingerprint, two halves of the shingle fingerprint, node): all pairs
+    within both radii, found through the tree. Where a set that is not split further has over `most` of them a row, or
+    over `whole` rows, it is a crowd: its rows are linked to few near ones, which joins large groups of copies with few
+    candidates, and those that may have more are given as pairs with themselves, to be searched by their shingles."""
     if len(rows) < 2:
         return
 
     def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Shingle distances, or 64 and more where either distance is too large."""
-        d = np.bitwise_count(a[:, None, 1] ^ b[None, :, 1]).astype(np.int16)
-        far = (np.bitwise_count(a[:, None, 0] ^ b[None, :, 0]) > radius) | (d > shingle_radius)
-        return np.where(far, np.int16(99), d)
+        """Shingle distances, or 999 where either distance is too large."""
+        d = np.bitwise_count(a[:, None, 1] ^ b[None, :, 1]).astype(np.int16) + np.bitwise_count(a[:, None, 2] ^ b[None, :, 2])
+        return np.where((d > gram_radius) | (np.bitwise_count(a[:, None, 0] ^ b[None, :, 0]) > radius), np.int16(999), d)
 
     def nearest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        top = np.argsort(d, axis=1, kind="stable")[:, :best]
-        i, j = np.nonzero(np.take_along_axis(d, top, 1) < 64)
-        yield a[i, 2], b[top[i, j], 2]
-
-    if len(rows) <= FEW:
-        d = near(rows, rows)
-        d[np.triu_indices(len(rows))] = 99
-        i, j = np.nonzero(d < 64)
-        if len(i) > 6 * len(rows):
-            yield from nearest(rows, rows, d)
-            some = rows[np.union1d(i, j), 2]
-            yield some, some
-        elif len(i):
-            yield rows[i, 2], rows[j, 2]
-        return
-    node = best_node(rows[:, 0], part, radius, rng)
-    if node is not None:
-        inside, outside = node.sides(rows[:, 0])
-        if max(inside.sum(), outside.sum()) < 0.97 * len(rows):
-            yield from similar_links(rows[inside], part, radius, rng, shingle_radius, best)
-            yield from similar_links(rows[outside], part, radius, rng, shingle_radius, best)
+        top = np.argsort(d, axis=1, kind="stable")[:, :3]
+        i, j = np.nonzero(np.take_along_axis(d, top, 1) < 999)
+        yield a[i, 3], b[top[i, j], 3]
+
+    if len(rows) > FEW:
+        node = best_node(rows[:, 0], part, radius, rng)
+        if node is not None:
+            inside, outside = node.sides(rows[:, 0])
+            if max(inside.sum(), outside.sum()) < 0.97 * len(rows):
+                for side in (inside, outside):
+                    yield from similar_links(rows[side], part, radius, rng, gram_radius, most, whole)
+                return
+    if len(rows) <= whole:
+        found, total, step = [], 0, max(16, (1 << 20) // len(rows))
+        for at in range(0, len(rows), step):
+            d = near(rows[at : at + step], rows[: at + step])
+            i, j = np.nonzero(d < 999)
+            i, j = i[j < i + at], j[j < i + at]
+            found.append((i + at, j))
+            total += len(i)
+            if total > most * len(rows):
+                break
+        else:
+            i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+            if len(i):
+                yield rows[i, 3], rows[j, 3]
             return
-    yield rows[:, 2], rows[:, 2]
-    while len(rows) > 1:
-        pivots, rest = rows[:FEW], rows[FEW:]
-        yield from similar_links(pivots, part, radius, rng, shingle_radius, best)
-        left = []
-        for i in range(0, len(rest), 4096):
-            block = rest[i : i + 4096]
-            d = near(block, pivots)
-            yield from nearest(block, pivots, d)
-            left.append(block[d.min(1) >= 64])
-        rows = np.concatenate(left) if left else rest
-
-
-def crowd_pairs(members: DataFrame, similarity: float, rows: int, part: int = 2048) -> DataFrame:
+    crowd = np.ones(len(rows), bool) if len(rows) > whole else np.zeros(len(rows), bool)
+    left = np.arange(len(rows))
+    while len(left):  # pivots, and of the rows far from all of them again
+        pivots, rest = left[:FEW], left[FEW:]
+        d = near(rows[pivots], rows[pivots])
+        d[np.triu_indices(len(pivots))] = 999
+        yield from nearest(rows[pivots], rows[pivots], d)
+        i, j = np.nonzero(d < 999)
+        crowd[pivots[i]] = crowd[pivots[j]] = True
+        far = []
+        for at in range(0, len(rest), 4096):
+            block = rest[at : at + 4096]
+            d = near(rows[block], rows[pivots])
+            yield from nearest(rows[block], rows[pivots], d)
+            hit = d < 999
+            crowd[block[hit.any(1)]] = True
+            crowd[pivots[hit.any(0)]] = True
+            far.append(block[~hit.any(1)])
+        left = np.concatenate(far) if far else rest
+    some = rows[crowd, 3]
+    yield some, some
+
+
+def needed(size: int, share: float) -> int:
+    return int(np.ceil(share * size - 1e-6))
+
+
+def crowd_pairs(members: DataFrame, similarity: float, rows: int, part: int = 2048, filter_bytes: int = 16 << 20) -> DataFrame:
     """(u, v): all pairs of (node, label, grams) that differ in label and may have the similarity. Shingles are ordered
     by their counts (in buckets), rarest first. Two sets that are similar share one of the first shingles, and at the
-    first of these enough shingles follow in both. Shingles of many sets are joined in parts."""
+    first of these enough shingles follow in both. Only first shingles that filters hold to be in several sets are
+    joined; those of many sets in parts."""
     spark = members.sparkSession
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            seen += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32) % BUCKETS, minlength=BUCKETS)
+            grams = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+            seen += np.bincount((grams % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at])], ["bucket", "n"])
 
-    counts = members.select("grams").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).where("n > 1").toArrow()
-    often = np.ones(BUCKETS, np.uint32)
+    counts = members.select("grams").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(BUCKETS, np.uint32)
     often[counts["bucket"].to_numpy()] = np.minimum(counts["n"].to_numpy(), 2**32 - 1)
     common = spark.sparkContext.broadcast(often)
 
+    def first_grams(data: bytes) -> tuple[np.ndarray, int]:
+        grams = np.frombuffer(data, np.uint64)
+        n = common.value[grams % np.uint64(BUCKETS)]
+        return grams[np.lexsort((grams, n))[: len(grams) - needed(len(grams), similarity) + 1]], len(grams)
+
+    filters = spark.sparkContext.broadcast(hash_filters(members.select("grams"), lambda batch: (mixed(first_grams(x)[0]) for x in batch.column(0).to_pylist()), filter_bytes))
+
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for i, data in enumerate(batch.column(2).to_pylist()):
-                grams = np.frombuffer(data, np.uint32)
-                n, size = common.value[grams % BUCKETS], len(grams)
-                order = np.lexsort((grams, n))
-                least = [size - int(np.ceil(share * size - 1e-6)) + 1 for share in (similarity, 2 * similarity / (1 + similarity))]
-                order = order[: least[0]]
-                at = np.arange(len(order))
-                row = np.stack([np.full(len(order), i), grams[order], at, np.full(len(order), size), at < least[1], -(-n[order].astype(np.int64) // part)], 1)
-                found.append(row[n[order] > 1])
-            rows = np.concatenate(found) if found else np.zeros((0, 6), np.int64)
-            own = pa.array(rows[:, 0])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), *(pa.array(rows[:, k]) for k in range(1, 6))], ["node", "label", "gram", "at", "size", "early", "parts"])
-
-    names = "node long, label long, gram long, at long, size long, early long, parts long"
-    first = written(members.select("node", "label", "grams").mapInArrow(firsts, names), "first-shingles")
-    a = first.where("early = 1").withColumn("part", F.pmod("node", "parts")).alias("a")
-    b = first.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
+            found = [first_grams(x) for x in batch.column(2).to_pylist()]
+            n = np.array([len(g) for g, _ in found], np.int64)
+            size = np.repeat(np.array([s for _, s in found], np.int64), n)
+            early = np.repeat(np.array([s - needed(s, 2 * similarity / (1 + similarity)) + 1 for _, s in found], np.int64), n)
+            of = np.repeat(np.arange(len(found)), n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            grams = np.concatenate([g for g, _ in found] or [np.zeros(0, np.uint64)])
+            keep = filters.value.may_repeat(mixed(grams))
+            own = pa.array(of[keep])
+            columns = [grams[keep].view(np.int64), at[keep].astype(np.int32), size[keep].astype(np.int32), (at < early)[keep]]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), *map(pa.array, columns)], ["node", "label", "gram", "at", "size", "early"])
+
+    first = written(members.select("node", "label", "grams").mapInArrow(firsts, "node long, label long, gram long, at int, size int, early boolean"), "first-shingles")
+    shared = first.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    shared = written(shared.select("gram", F.ceil(F.col("n") / part).alias("parts")), "shared-shingles", rows)
+    first = first.join(shared, "gram")
+    a = first.where("early").withColumn("part", F.pmod("node", "parts")).alias("a")
+    b = first.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).alias("b")
     shorter = "a.label <> b.label AND (a.size < b.size OR a.size = b.size AND a.node < b.node)"
     enough = f"least(a.size - a.at, b.size - b.at) >= {similarity / (1 + similarity)!r} * (a.size + b.size) - 1e-6"
     found = a.join(b, F.expr(f"a.gram = b.gram AND a.part = b.part AND {shorter} AND {enough}"))
     return written(found.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct(), "crowd-candidates", rows)
 
 
-def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 7) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 9) -> DataFrame:
     """(id, text_hash, group): group is the smallest id reached by links of at least this Jaccard similarity of
     distinct word shingles. Equal word sequences are one class. Candidates are classes whose word fingerprints are
     within the radius (found through the trees) and whose shingle fingerprints are near; every one is verified. In
     crowds, candidates are then all classes that are not linked yet and share enough shingles."""
-    source = docs.select(null_first(F.col(id).cast("long")).alias("id"), F.xxhash64(text).alias("text_hash"), text)
+    source = docs.select(null_first(F.col(id).cast("long")).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     small_batches(docs.sparkSession)
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(x.as_py(), words)[:3] for x in batch.column(2).cast(pa.binary())]
-            fps = np.array([f[:2] for f in found], np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps[:, 0]), pa.array(fps[:, 1]), pa.array([f[2] for f in found], pa.binary())], ["id", "text_hash", "fp", "gram_fp", "key"])
+            found = [sketch(x.as_py(), words) for x in batch.column(2).cast(pa.binary())]
+            fps = np.array([f[:3] for f in found], np.uint64).reshape(-1, 3).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(fps[:, i]) for i in range(3)), pa.array([f[3] for f in found], pa.binary())], ["id", "text_hash", "fp", "gram0", "gram1", "key"])
 
-    rows = written(source.mapInArrow(sketched, "id long, text_hash long, fp long, gram_fp long, key binary"), "sketches")
+    rows = written(source.mapInArrow(sketched, "id long, text_hash long, fp long, gram0 long, gram1 long, key binary"), "sketches")
     n = rows.count()
-    classes = written(rows.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("m"), F.min("fp").alias("fp"), F.min("gram_fp").alias("gram_fp")).select("key", F.col("m.id").alias("rep"), F.col("m.text_hash").alias("rep_hash"), "fp", "gram_fp"), "classes", n)
-    found = search_shards(classes.withColumn("node", F.xxhash64("key")), ["fp", "gram_fp", "node"], radius, similar_links)
+    own = F.min(F.struct("id", "text_hash", "fp", "gram0", "gram1")).alias("m")  # a class shares its fingerprints
+    classes = rows.groupBy("key").agg(own).select("key", F.col("m.id").alias("rep"), F.col("m.text_hash").alias("rep_hash"), "m.fp", "m.gram0", "m.gram1")
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes", n)  # numbers that stay, as they are written
+    found = search_shards(classes, ["fp", "gram0", "gram1", "node"], radius, similar_links)
     found = written(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "candidates", 4 * n)
     pairs, crowd = found.where("u <> v"), found.where("u = v").select(F.col("u").alias("node"))
     n_pairs, n_crowd = pairs.count(), crowd.count()
-    named = classes.select(F.xxhash64("key").alias("node"), "rep", "rep_hash")
+    named = classes.select("node", "rep", "rep_hash")
     wanted = found.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named, "node")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(sketch(x.as_py(), words)[3].astype(np.uint32)).tobytes() for x in batch.column(1).cast(pa.binary())]
+            sets = [gram_hashes(x.as_py(), words).tobytes() for x in batch.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "grams"])
 
-    texts = source.join(wanted, (source["id"] == wanted["rep"]) & (source["text_hash"] == wanted["rep_hash"])).select("node", text)
+    texts = source.join(wanted, (source["id"] == wanted["rep"]) & (source["text_hash"] == wanted["rep_hash"])).select("node", "text")
     sets = written(texts.mapInArrow(hashed, "node long, grams binary").dropDuplicates(["node"]), "shingle-sets", 20 * n_pairs + n_crowd)
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fine = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 fine.append(both >= similarity * (len(a) + len(b) - both) - 1e-9)
             yield batch.select(["u", "v"]).filter(pa.array(fine, pa.bool_()))
@@ -404,16 +451,28 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
         members = sets.join(crowd, "node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "grams")
         more = crowd_pairs(members, similarity, 4 * n)
         n_more = more.count()
-        labels = components(edges.unionByName(similar(more, n_more)), n_pairs + n_more)
+        if n_more:
+            labels = components(edges.unionByName(similar(more, n_more)), n_pairs + n_more)
     linked = written(labels.join(named, "node"), "linked-classes", n)
     least = written(linked.groupBy("label").agg(F.min("rep").alias("group")), "groups", n)
     of_node = linked.join(least, "label").select("node", "group")
-    of_class = written(classes.select("key", "rep", F.xxhash64("key").alias("node")).join(of_node, "node", "left").select("key", F.coalesce("group", "rep").alias("group")), "class-groups", n)
+    of_class = written(classes.select("key", "rep", "node").join(of_node, "node", "left").select("key", F.coalesce("group", "rep").alias("group")), "class-groups", n)
     return rows.select("id", "text_hash", "key").join(of_class, "key").select("id", "text_hash", "group")
 
 
 def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """docs with one document of each group: that of the smallest id. Rows that share this id and text all stay."""
-    out = near_duplicate_groups(docs, id, text, **options).where("id <> group").select(F.struct("id", "text_hash").alias("__gone")).distinct()
+    """docs with one document of each group: that of the smallest id; of rows that share it the one of the smallest
+    text hash, and of rows that share this too any one."""
+    n = docs.count()
+    rows = near_duplicate_groups(docs, id, text, **options).groupBy("id", "text_hash", "group").agg(F.count(F.lit(1)).alias("copies"))
+    rows = written(rows, "group-rows", n)
+    kept = rows.where("id = group").groupBy("group").agg(F.min_by("text_hash", "text_hash").alias("text_hash"), F.min_by("copies", "text_hash").alias("copies"))
+    kept = written(kept.select(F.col("group").alias("id"), "text_hash", "copies"), "kept-of-groups", n)
+    name = fresh(docs, "own_key")
     key = F.struct(null_first(F.col(id).cast("long")).alias("id"), F.xxhash64(text).alias("text_hash"))
-    return docs.join(written(out, "near-duplicates", docs.count()), key == F.col("__gone"), "left_anti")
+    again = written(kept.where("copies > 1").select(F.struct("id", "text_hash").alias(name)), "copied-rows", n)
+    gone = rows.join(kept.where("copies = 1"), ["id", "text_hash"], "left_anti").select(F.struct("id", "text_hash").alias(name))
+    out = docs.join(written(gone, "near-duplicates", n), key == F.col(name), "left_anti")
+    if again.isEmpty():
+        return out
+    return out.unionByName(docs.join(again, key == F.col(name)).dropDuplicates([name]).select(*(F.col(f"`{c}`") for c in docs.columns)))

@@ -112,6 +112,8 @@ def test_near_duplicates_by_similarity(spark):
     found = {(r.id, r.group) for r in near_duplicate_groups(frame(spark, rows)).collect()}
     assert found == {(5, 3), (3, 3), (9, 9), (2, 2), (4, 2), (6, 6), (7, 6)}
     assert sorted(r.doc_id for r in drop_near_duplicates(frame(spark, rows)).collect()) == [2, 3, 6, 9]
+    copies = drop_near_duplicates(frame(spark, [(1, "same", "x", "y")] * 3 + [(1, "other", "x", "y"), (None, "same", "x", "y"), (None, "same", "x", "y")]))
+    assert collected(copies.select("doc_id", "text")) == [(1, "other"), (None, "same")]
     assert drop_near_duplicates(empty(spark)).count() == 0
 
 
@@ -128,6 +130,8 @@ def groups_by_brute_force(rows: list[tuple], similarity: float = 0.8) -> set[tup
     sets = [set(shingles(t.encode(), 5)) for _, t, *_ in rows]
     group = list(range(len(rows)))
     for i, j in itertools.combinations(range(len(rows)), 2):
+        if min(len(sets[i]), len(sets[j])) < similarity * max(len(sets[i]), len(sets[j])):
+            continue
         both = len(sets[i] & sets[j])
         if both >= similarity * (len(sets[i]) + len(sets[j]) - both) and group[i] != group[j]:
             group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
@@ -148,6 +152,25 @@ def test_near_duplicates_in_a_dense_leaf(spark):
     assert {(r.id, r.group) for r in near_duplicate_groups(frame(spark, rows)).collect()} == want
 
 
+def test_near_duplicates_in_a_large_group_of_near_copies(spark):
+    r = random.Random(3)
+    base = [f"w{r.randrange(5000)}" for _ in range(200)]
+    rows = []
+    for i in range(10_000):
+        text = list(base)
+        text[r.randrange(200)] = f"v{i}"
+        rows.append((i, " ".join(text), "x", "y"))
+    rows += [(20_000 + i, " ".join(f"z{i}x{k}" for k in range(50)), "x", "y") for i in range(300)]
+    assert [x.doc_id for x in drop_near_duplicates(frame(spark, rows)).collect() if x.doc_id < 20_000] == [0]
+
+
+def test_near_duplicates_on_the_test_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(i, t or "", "x", "y") for i, t in docs.collect()]
+    found = {(x.id, x.group) for x in near_duplicate_groups(docs).collect()}
+    want = groups_by_brute_force(rows)
+    assert len(found & want) >= 0.99 * len(want)
+
 
 # 7
 

@@ -10,7 +10,7 @@ import tiktoken  # noqa: F401
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lathework.llm.simhash import sketch
+from lathework.llm.simhash import gram_hashes
 from tests.llm.test_edges import brute_lines, brute_overlap, brute_repeats, collected
 
 DATA = "/root/testdata/sf0.001"
@@ -49,7 +49,7 @@ def test_lines(stages):
 
 
 def test_near_duplicates(stages):
-    rows = {r.doc_id: set(sketch(r.text.encode(), 5)[3].tolist()) for r in stages["line_dedup"].collect()}
+    rows = {r.doc_id: set(gram_hashes(r.text.encode(), 5).tolist()) for r in stages["line_dedup"].collect()}
     label = {i: i for i in rows}
 
     def root(i):
