@@ -1,12 +1,13 @@
 """Exact top-k search in Hamming space with incremental multi-index hashing.
 
-Codes are cut into 16-bit segments, each with an index of its own. For a query the segment radius grows: after all
-segment values within radius r are looked up in all m segments, every code within m * (r + 1) - 1 bits has been seen
-and verified, so the search ends as soon as the k-th distance is within that bound. Where the next ring would look up
-more values than there are codes, the remaining codes are verified directly, which covers everything.
+Codes are cut into 16-bit segments, each with an index of its own. For a query the segment radii grow one after the
+other: once the first s + 1 of m segments have been searched up to radius r and the others up to r - 1, every code
+within m * r + s bits has been seen and verified, so the search ends as soon as the k-th distance is within that bound.
+The segment values at a distance are looked up one by one where they are few, else picked from the values that occur.
 
-Rows and queries meet in the cells of a grid (shards of about `shard_rows` rows, blocks of about `query_rows`
-queries), so a task holds a bounded number of both, and nothing is broadcast. A shard's equal codes are compared once.
+Rows and queries meet in the cells of a grid: shards of about `shard_rows` rows, whose index is built once for a cell,
+and blocks of at most `query_rows` queries, which stream through it. There are no more blocks than that needs or than
+keep all partitions busy. A task holds one shard, and nothing is broadcast. A shard's equal codes are compared once.
 
 Defined results: a query finds itself. Ties go to the smaller id; equal rows are separate results. Rows without an id or
 vector are neither found nor queries. A vector shorter than the longest counts as not positive in what it lacks. With
@@ -37,67 +38,84 @@ def ring(radius: int) -> np.ndarray:
 
 
 class MultiIndex:
-    """codes: distinct, as rows of 16-bit segments."""
+    """codes: distinct, as rows of 16-bit segments; copies: how many rows have each."""
 
-    def __init__(self, codes: np.ndarray, copies: np.ndarray):
-        self.codes, self.copies = codes, copies
+    def __init__(self, codes: np.ndarray, copies: np.ndarray, k: int):
+        self.codes, self.copies, self.k = codes, np.minimum(copies, k), k
         self.orders = [np.argsort(codes[:, s], kind="stable") for s in range(codes.shape[1])]
         self.starts = [np.searchsorted(codes[o, s], np.arange((1 << SEGMENT) + 1)) for s, o in enumerate(self.orders)]
-
-    def distances(self, query: np.ndarray, at: np.ndarray | slice) -> np.ndarray:
-        return np.bitwise_count(self.codes[at] ^ query).sum(1, dtype=np.int64)
-
-    def nearest(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        self.values = [np.unique(codes[:, s]) for s in range(codes.shape[1])]
+        self.verified = 0
+
+    def at_distance(self, s: int, value: int, radius: int, far: dict[int, list[np.ndarray]]) -> np.ndarray:
+        """Codes whose segment s is exactly that far from the value."""
+        if len(ring(radius)) <= len(self.values[s]) // 8:
+            values = ring(radius) ^ value
+        else:
+            if s not in far:
+                d = np.bitwise_count(self.values[s] ^ np.uint16(value))
+                far[s] = np.split(self.values[s][np.argsort(d, kind="stable")], np.cumsum(np.bincount(d, minlength=SEGMENT + 1))[:-1])
+            values = far[s][radius].astype(np.int64)
+        a, z = self.starts[s][values], self.starts[s][values + 1]
+        n = z - a
+        return self.orders[s][np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+
+    def nearest(self, query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Code numbers and distances, among them all codes up to the k-th row's distance."""
         m = self.codes.shape[1]
-        found, distance = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        seen, rows = np.zeros(len(self.codes), bool), np.zeros(m * SEGMENT + 1, np.int64)
+        found, distance, far = [], [], {}
         for radius in range(SEGMENT + 1):
-            if m * len(ring(radius)) > len(self.codes):
-                return np.arange(len(self.codes)), self.distances(query, slice(None))
-            new = [found]
             for s in range(m):
-                values = ring(radius) ^ int(query[s])
-                a, z = self.starts[s][values], self.starts[s][values + 1]
-                hit = np.flatnonzero(z > a)
-                new += [self.orders[s][a[i] : z[i]] for i in hit]
-            found = np.unique(np.concatenate(new))
-            distance = self.distances(query, found)
-            covered = distance <= m * (radius + 1) - 1
-            if np.minimum(self.copies[found[covered]], k).sum() >= k:
-                return found, distance
-        return found, distance
-
-
-def cell_results(ids: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, query_codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, id, distance) of the k nearest rows of a shard for every query."""
-    order = np.lexsort((ids, *codes.T))
-    ids, codes = ids[order], codes[order]
-    fresh = np.ones(len(ids), bool)
-    fresh[1:] = (codes[1:] != codes[:-1]).any(1)
-    first = np.flatnonzero(fresh)
-    copies = np.diff(np.append(first, len(ids)))
-    index = MultiIndex(codes[first], copies)
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for q, code in zip(query_ids, query_codes, strict=True):
-        at, distance = index.nearest(code, k)
-        near = np.argsort(distance, kind="stable")
-        rows = np.minimum(copies[at[near]], k)
-        last = int(np.searchsorted(np.cumsum(rows), k))
-        near = near[distance[near] <= distance[near[min(last, len(near) - 1)]]] if len(near) else near
-        picked = [(ids[first[a] : first[a] + min(k, copies[a])], d) for a, d in zip(at[near], distance[near], strict=True)]
-        i = np.concatenate([p for p, _ in picked])
-        d = np.repeat([d for _, d in picked], [len(p) for p, _ in picked])
-        best = np.lexsort((i, d))[:k]
-        out.append((np.full(len(best), q), i[best], d[best]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def top_k(rows: DataFrame, is_query: Column, id: str = "vec_id", vector: str = "embedding", k: int = 10, shard_rows: int = 1_000_000, query_rows: int = 512) -> DataFrame:
+                new = self.at_distance(s, int(query[s]), radius, far)
+                new = new[~seen[new]]
+                if len(new):
+                    seen[new] = True
+                    d = np.bitwise_count(self.codes[new] ^ query).sum(1, dtype=np.int64)
+                    rows += np.bincount(d, weights=self.copies[new], minlength=len(rows)).astype(np.int64)
+                    found.append(new)
+                    distance.append(d)
+                if rows[: m * radius + s + 1].sum() >= self.k:
+                    self.verified += sum(map(len, found))
+                    return np.concatenate(found), np.concatenate(distance)
+        self.verified += len(self.codes)
+        return np.concatenate(found), np.concatenate(distance)
+
+
+class Shard:
+    """Rows (ids and codes) of a shard, the equal ones together, with their index."""
+
+    def __init__(self, ids: np.ndarray, codes: np.ndarray, k: int):
+        order = np.lexsort((ids, *codes.T))
+        self.ids, codes, self.k = ids[order], codes[order], k
+        fresh = np.ones(len(ids), bool)
+        fresh[1:] = (codes[1:] != codes[:-1]).any(1)
+        self.first = np.flatnonzero(fresh)
+        self.index = MultiIndex(codes[self.first], np.diff(np.append(self.first, len(ids))), k)
+
+    def results(self, query_ids: np.ndarray, query_codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query id, id, distance) of the k nearest rows for every query."""
+        copies, out = self.index.copies, []
+        for q, code in zip(query_ids, query_codes, strict=True):
+            at, distance = self.index.nearest(code)
+            near = np.argsort(distance, kind="stable")
+            last = int(np.searchsorted(np.cumsum(copies[at[near]]), self.k))
+            near = near[distance[near] <= distance[near[min(last, len(near) - 1)]]]
+            n = copies[at[near]]
+            i = self.ids[np.repeat(self.first[at[near]] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            d = np.repeat(distance[near], n)
+            best = np.lexsort((i, d))[: self.k]
+            out.append((np.full(len(best), q), i[best], d[best]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def top_k(rows: DataFrame, is_query: Column, id: str = "vec_id", vector: str = "embedding", k: int = 10, shard_rows: int = 1_000_000, query_rows: int = 65_536) -> DataFrame:
     """(query_id, rank, neighbor_id, distance): the k nearest rows by sign bits of every row that is a query."""
     spark = rows.sparkSession
     rows = rows.where(F.col(id).isNotNull() & F.col(vector).isNotNull())
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vector)).alias("dim"), F.count_if(is_query).alias("q")).first()
-    shards, groups = max(1, -(-size.n // shard_rows)), max(1, -(-size.q // query_rows))
+    shards = max(1, -(-size.n // shard_rows))
+    groups = max(1, -(-size.q // query_rows), min(-(-size.q // 512), -(-partitions(spark) // shards)))
     width = max(1, -(-(size.dim or 1) // SEGMENT))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,29 +137,27 @@ def top_k(rows: DataFrame, is_query: Column, id: str = "vec_id", vector: str = "
     asked = codes.where("q").select("id", "code", F.lit(True).alias("q"), each(shards).alias("s"), part(groups, 2).alias("g"))
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            cell = pa.Table.from_batches(parts)
-            asks = np.asarray(cell["q"])
-            ids = np.asarray(cell["id"])
-            data = np.frombuffer(b"".join(cell["code"].to_pylist()), np.uint16).reshape(len(ids), width)
-            if asks.any() and not asks.all():
-                q, i, d = cell_results(ids[~asks], data[~asks], ids[asks], data[asks], k)
-                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(d, pa.int64())], ["query_id", "neighbor_id", "distance"])
-
-        now, parts = None, []
+        now, ids, codes, shard = None, [], [], None
         for batch in batches:
-            cells = np.asarray(batch.column(3)) * groups + np.asarray(batch.column(4))
-            cuts = np.flatnonzero(np.diff(cells, prepend=-1, append=-1)) if len(cells) else []
+            cells, asks = np.asarray(batch.column(3)) * groups + np.asarray(batch.column(4)), np.asarray(batch.column(2))
+            key = 2 * cells + asks
+            cuts = np.flatnonzero(np.diff(key, prepend=-1, append=-1)) if len(key) else []
             for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+                part = batch.slice(a, z - a)
+                own, data = np.asarray(part.column(0)), np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, width)
                 if cells[a] != now:
-                    if parts:
-                        yield from close(parts)
-                    now, parts = cells[a], []
-                parts.append(batch.slice(a, z - a))
-        if parts:
-            yield from close(parts)
-
-    dealt = stored.unionByName(asked).repartition(min(shards * groups, 8 * partitions(spark)), "s", "g").sortWithinPartitions("s", "g")
+                    now, ids, codes, shard = cells[a], [], [], None
+                if not asks[a]:
+                    ids.append(own)
+                    codes.append(data)
+                elif ids or shard:
+                    shard = shard or Shard(np.concatenate(ids), np.concatenate(codes), k)
+                    ids, codes = [], []
+                    for at in range(0, len(own), 1024):
+                        q, i, d = shard.results(own[at : at + 1024], data[at : at + 1024])
+                        yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(d, pa.int64())], ["query_id", "neighbor_id", "distance"])
+
+    dealt = stored.unionByName(asked).repartition(min(shards * groups, 8 * partitions(spark)), "s", "g").sortWithinPartitions("s", "g", "q")
     found = dealt.mapInArrow(searched, "query_id long, neighbor_id long, distance long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "neighbor_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "neighbor_id", "distance")

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from lathework.llm import katz
 from lathework.llm.decontaminate import contaminated, drop_contaminated, overlap
-from lathework.llm.hamming import top_k
+from lathework.llm.hamming import Shard, top_k
 from lathework.llm.katz import score_katz
 from lathework.llm.line_dedup import Bloom, drop_repeated_lines
 from lathework.llm.packing import nonnegative_least_squares, pack, packed
@@ -459,6 +459,20 @@ def test_top_k_is_exact(spark, shard_rows):
     assert top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_ends_by_its_bound(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r.vec_id for r in rows])
+    codes = np.packbits(np.array([[x > 0 for x in r.embedding] for r in rows]), axis=1).view(np.uint16)
+    shard = Shard(ids, codes, 10)
+    asks = ids % 20 == 0
+    q, i, d = shard.results(ids[asks], codes[asks])
+    assert shard.index.verified < 0.6 * asks.sum() * len(shard.first)
+    for own, code in zip(ids[asks], codes[asks], strict=True):
+        want = np.bitwise_count(codes ^ code).sum(1, dtype=np.int64)
+        best = np.lexsort((ids, want))[:10]
+        assert (i[q == own] == ids[best]).all() and (d[q == own] == want[best]).all()
+
+
 def test_minimizers_do_not_depend_on_segments(monkeypatch):
     from lathework.llm import repeats
 
