@@ -443,7 +443,7 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
 
     def similar(pairs: DataFrame, rows: int) -> DataFrame:
         joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
-        return written(joined.select("u", "v", "a", "b").mapInArrow(verified, "u long, v long"), "similar-pairs", rows)
+        return written(joined.select("u", "v", "a", "b").mapInArrow(verified, "u long, v long"), "similar-pairs", 20 * rows)  # sets are long
 
     edges = similar(pairs, n_pairs)
     labels = components(edges, n_pairs)
