@@ -15,14 +15,14 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lathework.llm import katz
+from lathework.llm import katz, quality
 from lathework.llm.decontaminate import contaminated, drop_contaminated, overlap
 from lathework.llm.hamming import Shard, top_k
 from lathework.llm.katz import score_katz
 from lathework.llm.line_dedup import Bloom, drop_repeated_lines
 from lathework.llm.packing import nonnegative_least_squares, pack, packed
 from lathework.llm.pii import PATTERNS, find_pii
-from lathework.llm.quality import score_quality, training_rows
+from lathework.llm.quality import LineCrf, score_quality, training_rows
 from lathework.llm.repeats import drop_repeats, lcp_intervals, maximal_repeats
 from lathework.llm.simhash import drop_near_duplicates, near_duplicate_groups, shingles, simhash_groups
 from lathework.llm.url_filter import CharModel, judge_urls
@@ -415,6 +415,72 @@ def test_quality_tells_junk_from_prose(spark):
     assert [r.score for r in alone] == [0.5]
 
 
+def plain_features(line, before):
+    n, words = len(line), line.split()
+    if not n:
+        return [1.0] + [0.0] * 15
+    of = lambda kind: sum(c in kind for c in line)
+    letters = sum(chr(c).isalpha() if c < 128 else True for c in line)
+    k = len(words) or 1
+    upper, marks, same = of(bytes(range(65, 91))) / max(1, letters), of(b"!#$%&*@^~<>=+_{}[]\\/") / n, sum(a == b for a, b in zip(words, words[1:], strict=False)) / k
+    pipes = line.count(b"|") / k
+    return [0.0, min(n, 2000) / 2000, letters / n, upper, upper > 0.5, marks, marks > 0.03, marks > 0.12, of(b"0123456789") / n, same, same > 0.15, len(set(words)) / k, pipes, pipes > 0.3, line in before, min(n / k, 30) / 30]
+
+
+def test_features_of_lines(monkeypatch):
+    texts = [(t or "").encode() for _, t, *_ in documents()] + [b"", b"\n\n", b"a\n", b" \n x  y\n| | 7", b"a b a a\na b a a\n\n\na b a a", b"LOUD!! A\xff\x0bb"]
+    want = []
+    for t in texts:
+        lines = t.split(b"\n")
+        want += [plain_features(x, set(lines[:i])) for i, x in enumerate(lines)]
+    for block in (1 << 20, 50):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        x, weights, sizes = quality.projected(texts, np.eye(16))
+        assert np.allclose(x, np.array(want, float), atol=1e-12) and sizes.sum() == len(want) and weights.sum() == sum(len(t) + 1 for t in texts)
+
+
+def test_marginals_against_all_label_sequences():
+    r = np.random.default_rng(8)
+    crf = LineCrf(r.normal(size=3), r.normal(size=(2, 2)))
+    sizes = np.array([1, 7, 2, 9, 1])
+    x = r.normal(size=(sizes.sum(), 3))
+    want, pairs, at = [], np.zeros((2, 2)), 0
+    for n in sizes:
+        potential, total, good, links = x[at : at + n] @ crf.weights, 0.0, np.zeros(n), np.zeros((2, 2))
+        for y in itertools.product((0, 1), repeat=int(n)):
+            w = math.exp(sum(p for p, v in zip(potential, y, strict=True) if v) + sum(crf.links[a, b] for a, b in itertools.pairwise(y)))
+            total += w
+            good += w * np.array(y)
+            for a, b in itertools.pairwise(y):
+                links[a, b] += w
+        want += (good / total).tolist()
+        pairs += links / total
+        at += n
+    p, found = crf.marginals(x, sizes)
+    assert np.allclose(p, want) and np.allclose(found, pairs)
+    for lane in (64, 4, 2, 1):
+        assert np.allclose(crf.good(x @ crf.weights, sizes, lane), want)
+
+
+def test_chains_keep_their_neighbours():
+    text = "\n".join(f"line {i} {'!' * (i % 7)}" for i in range(100)).encode()
+    whole, _, _ = quality.projected([text], np.eye(16))
+    full = quality.with_neighbours(whole, *quality.edges(np.array([100])))
+    found = [quality.Chain(0, 1, *c).nodes()[0] for c in quality.chains_of(text, 10, 3)]
+    assert [len(x) for x in found] == [10, 10, 10]
+    for x, s in zip(found, (0, 45, 90), strict=True):
+        assert np.allclose(x, full[s : s + 10], atol=1e-6)
+
+
+def test_quality_of_very_long_texts(spark):
+    rows = [r for r in documents(80) if r[0] is not None and r[1] and len(r[1]) < 5000]
+    junk = [(1000 + i, t.upper() + "!!", "x", "y") for i, t, *_ in rows]
+    labels = spark.createDataFrame([(r[0], 1) for r in rows] + [(r[0], 0) for r in junk], "doc_id long, quality int")
+    long = [(5000, "a\n" * 10_000_000, "x", "y"), (5001, " " * 2_000_000, "x", "y"), (5002, "\n" * 2_000_000, "x", "y")]
+    found = score_quality(frame(spark, rows + junk + long), labels).where("doc_id >= 5000").select("doc_id", "score").collect()
+    assert len(found) == 3 and all(0 <= r.score <= 1 for r in found)
+
+
 # 5
 
 
