@@ -2,10 +2,12 @@
 
 Documents are tokenised and packed where they are read, without a shuffle, in blocks of about `block` tokens. In a
 block, whole windows of long documents become sequences of their own. For the rests, all combinations of two or three
-lengths that fill a window exactly are the columns of a non-negative least-squares problem whose right side is the
-histogram of rests; the solution, rounded and bounded by what is there, says how often each combination is used. What
-remains is packed greedily, largest fitting piece first, and a piece is cut only if none fits. The end of a block is
-cut into sequences whose lengths are powers of two, which need no padding.
+lengths that fill a window exactly, and those of four that hold two of the most frequent short ones, are the columns of
+a non-negative least-squares problem whose right side is the histogram of rests. The solution spreads over very many
+columns, so it is rounded by its running total; that says how often each combination is used, as far as there are rests
+for it. What this leaves is solved again, a few times. What then remains is packed greedily, largest fitting piece
+first, and a piece is cut only if none fits. The end of a block is cut into sequences whose lengths are powers of two,
+which need no padding.
 
 Defined results: a null or empty text is the end id alone. Every row is packed, also rows that share an id. Sequence
 ids hold the number of the partition, so they are unique and the same when a lost task is run again. Columns beside id
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -29,6 +32,7 @@ from pyspark.sql import types as T
 from lathework.llm.common import small_batches
 
 Piece = tuple[int, int, int]  # document, start, length
+RUN = 2048
 
 
 @functools.cache
@@ -43,9 +47,17 @@ def encoders(json_path: str, ranks_path: str, pattern: str):
     return exact, tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def long_run(text: str) -> bool:
+    """Whether any block of RUN characters is all white space, all letters, all digits or none of these; a run of twice
+    that length holds such a block."""
+    blocks = (text[i : i + RUN] for i in range(0, len(text) - RUN + 1, RUN))
+    return any(b.isspace() or b.isalpha() or b.isdigit() or not re.search(r"[\w\s]", b) for b in blocks)
+
+
 class Encoder:
     """Ids of byte-level BPE. Texts with a special token's string, or beyond the basic plane, where Unicode versions of
-    the two libraries may differ, go to the tokenizer itself."""
+    the two libraries may differ, or with very long runs of one kind of character, which the faster one's pattern can't
+    take, go to the tokenizer itself."""
 
     def __init__(self, json_path: str, ranks_path: str):
         self.paths = json_path, ranks_path
@@ -57,58 +69,81 @@ class Encoder:
         exact, fast = encoders(*self.paths, public_tokenizers.PATTERN)
         if self.specials is None:
             self.specials = tuple(x.content for x in exact.get_added_tokens_decoder().values())
-        if any(s in text for s in self.specials) or (not text.isascii() and max(text) > "\uffff"):
+        if any(s in text for s in self.specials) or (not text.isascii() and max(text) > "\uffff") or long_run(text):
             return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
 
-def combinations(present: np.ndarray, window: int) -> np.ndarray:
-    """All sorted pairs and triples of present lengths that sum to the window; column 0 is 0 in pairs."""
+def combinations(histogram: np.ndarray, window: int, often: int = 8) -> np.ndarray:
+    """Sorted combinations of present lengths that sum to the window, filled up with zeros in front: all of two and of
+    three, and those of four that hold two of the `often` most frequent lengths below a quarter of the window."""
+    present = np.flatnonzero(histogram)
     there = np.zeros(window + 1, bool)
     there[present] = True
     a = present[(2 * present <= window)]
     pairs = a[there[window - a]]
-    out = [np.stack([np.zeros_like(pairs), pairs, window - pairs], 1)]
+    zero = np.zeros_like(pairs)
+    out = [np.stack([zero, zero, pairs, window - pairs], 1)]
     x, y = np.meshgrid(present, present, indexing="ij")
     z = window - x - y
     ok = (x <= y) & (y <= z)
     x, y, z = x[ok], y[ok], z[ok]
     ok = there[z]
-    out.append(np.stack([x[ok], y[ok], z[ok]], 1))
-    return np.concatenate(out)
-
-
-def nonnegative_least_squares(columns: np.ndarray, target: np.ndarray, rounds: int = 60) -> np.ndarray:
-    """min |A x - target| with x >= 0, A[l, c] being how often length l is in combination c; multiplicative updates."""
+    out.append(np.stack([np.zeros_like(x[ok]), x[ok], y[ok], z[ok]], 1))
+    short = present[4 * present <= window]
+    short = np.sort(short[np.argsort(-histogram[short], kind="stable")[:often]])
+    for i, a in enumerate(short.tolist()):
+        for b in short[i:].tolist():
+            c = present[2 * present <= window - a - b]
+            c = c[there[window - a - b - c]]
+            four = np.stack([np.full_like(c, a), np.full_like(c, b), c, window - a - b - c], 1)
+            out.append(np.sort(four, axis=1))
+    return np.unique(np.concatenate(out), axis=0)
+
+
+def nonnegative_least_squares(columns: np.ndarray, target: np.ndarray, rounds: int = 60, enough: float = 1e-2) -> np.ndarray:
+    """min |A x - target| with x >= 0, A[l, c] being how often length l is in combination c; multiplicative updates
+    until a round of ten changes the error by less than `enough` of it."""
+    before = np.inf
     spread = lambda y: y[columns].sum(1)
     mass = np.where(np.arange(len(target)) > 0, target, 0).astype(float)
     goal = spread(mass)
     x = np.full(len(columns), mass.sum() / max(1, 3 * len(columns)))
-    for _ in range(rounds):
+    for i in range(rounds):
         y = np.bincount(columns.ravel(), weights=np.repeat(x, columns.shape[1]), minlength=len(target))
         y[0] = 0
+        if i % 10 == 9:
+            error = float(((y - mass) ** 2).sum())
+            if error >= (1 - enough) * before:
+                break
+            before = error
         x *= goal / np.maximum(spread(y), 1e-9)
     return x
 
 
-def plan(rests: np.ndarray, window: int) -> list[list[int]]:
+def plan(rests: np.ndarray, window: int, solves: int = 4) -> list[list[int]]:
     """Groups of rests (indices) that fill windows exactly; each rest is in one group at most."""
-    histogram = np.bincount(rests, minlength=window + 1)
-    columns = combinations(np.flatnonzero(histogram), window)
-    if not len(columns):
-        return []
-    x = nonnegative_least_squares(columns, histogram)
     waiting: dict[int, list[int]] = {}
     for i in np.argsort(rests, kind="stable")[::-1].tolist():
         waiting.setdefault(int(rests[i]), []).append(i)
-    groups = []
-    chosen = np.flatnonzero(x >= 0.5)
-    for c in chosen[np.argsort(-x[chosen], kind="stable")].tolist():
-        lengths = [int(v) for v in columns[c] if v]
-        for _ in range(int(x[c] + 0.5)):
-            if any(len(waiting.get(v, ())) < lengths.count(v) for v in lengths):
-                break
-            groups.append([waiting[v].pop() for v in lengths])
+    groups: list[list[int]] = []
+    for _ in range(solves):
+        histogram = np.zeros(window + 1, np.int64)
+        for n, own in waiting.items():
+            histogram[n] = len(own)
+        columns = combinations(histogram, window)
+        if not len(columns):
+            break
+        total = np.floor(np.cumsum(nonnegative_least_squares(columns, histogram)) + 0.5).astype(np.int64)
+        times, before = np.diff(total, prepend=0), len(groups)
+        for c in np.flatnonzero(times).tolist():
+            lengths = [int(v) for v in columns[c] if v]
+            for _ in range(int(times[c])):
+                if any(len(waiting[v]) < lengths.count(v) for v in lengths):
+                    break
+                groups.append([waiting[v].pop() for v in lengths])
+        if len(groups) - before < 0.02 * len(groups):
+            break
     return groups
 
 

@@ -20,7 +20,7 @@ from lathework.llm.decontaminate import contaminated, drop_contaminated, overlap
 from lathework.llm.hamming import Shard, top_k
 from lathework.llm.katz import score_katz
 from lathework.llm.line_dedup import Bloom, drop_repeated_lines
-from lathework.llm.packing import nonnegative_least_squares, pack, packed
+from lathework.llm.packing import combinations, nonnegative_least_squares, pack, packed, plan
 from lathework.llm.pii import PATTERNS, find_pii
 from lathework.llm.quality import LineCrf, score_quality, training_rows
 from lathework.llm.repeats import drop_repeats, lcp_intervals, maximal_repeats
@@ -320,6 +320,47 @@ def test_packing_plan_fills_windows():
     assert all(t == 1024 or t & (t - 1) == 0 for t in totals) and sum(t != 1024 for t in totals.elements()) <= 10
     x = nonnegative_least_squares(np.array([[0, 300, 724], [0, 512, 512]]), np.bincount([300, 724, 300, 724, 512, 512], minlength=1025))
     assert np.allclose(x, [2, 1], atol=0.05)
+    rests = np.random.default_rng(3).integers(1, 1024, 4000)
+    groups = plan(rests, 1024)
+    used = [i for g in groups for i in g]
+    assert len(used) == len(set(used)) > 0.6 * len(rests) and all(rests[g].sum() == 1024 for g in groups)
+
+
+def test_least_squares_against_all_supports():
+    r = np.random.default_rng(6)
+    for _ in range(5):
+        histogram = np.zeros(33, np.int64)
+        histogram[r.choice(np.arange(1, 32), 9, replace=False)] = r.integers(1, 30, 9)
+        columns = combinations(histogram, 32)[:9]
+        a = np.zeros((33, len(columns)))
+        for c, own in enumerate(columns):
+            for v in own[own > 0]:
+                a[v, c] += 1
+        error = lambda x: float(((a @ x - histogram) ** 2).sum())  # noqa: E731, B023
+        best = error(np.zeros(len(columns)))
+        for n in range(1, len(columns) + 1):
+            for own in itertools.combinations(range(len(columns)), n):
+                x = np.zeros(len(columns))
+                x[list(own)] = np.linalg.lstsq(a[:, own], histogram, rcond=None)[0]
+                if (x >= -1e-9).all():
+                    best = min(best, error(x))
+        assert error(nonnegative_least_squares(columns, histogram, 20_000, 1e-9)) <= best * 1.001 + 1e-6
+
+
+def test_combinations_fill_the_window():
+    histogram = np.bincount([3, 3, 3, 5, 7, 10, 10, 2, 8], minlength=17)
+    found = {tuple(c[c > 0].tolist()) for c in combinations(histogram, 16, often=9)}
+    lengths = [2, 3, 5, 7, 8, 10]
+    two_and_three = {c for n in (2, 3) for c in itertools.combinations_with_replacement(lengths, n) if sum(c) == 16}
+    assert two_and_three <= found and all(sum(c) == 16 for c in found) and (2, 3, 3, 8) in found
+
+
+def test_packing_of_monotonous_texts(spark):
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "a" * 100_000, " \t" * 50_000, "x " * 100_000]
+    exact = Tokenizer.from_file(JSON)
+    want = [len(exact.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
+    pieces = pack(frame(spark, [(i, t, "x", "y") for i, t in enumerate(texts)]), JSON, RANKS).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("whole")).collect()
+    assert sorted((p.doc_id, p.n, p.whole) for p in pieces) == [(i, n, n) for i, n in enumerate(want)]
 
 
 # 4
