@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lathework.llm.common import ascii_lower, written
+from lathework.llm.common import ascii_lower, fresh, written
 
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 END = "."
@@ -111,10 +111,11 @@ def text_key(text: str) -> list[Column]:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs without those that are contaminated, with their columns."""
+    name = fresh(docs, "own_key")
     bad = overlap(docs, items, id, text, **options).where(contaminated())
-    bad = written(bad.select(F.struct("id", "text_hash", "n_chars").alias("__bad")).distinct(), "contaminated", docs.count())
+    bad = written(bad.select(F.struct("id", "text_hash", "n_chars").alias(name)).distinct(), "contaminated", docs.count())
     key = F.struct(F.col(id).alias("id"), *text_key(text))
-    return docs.join(bad, key.eqNullSafe(F.col("__bad")), "left_anti")
+    return docs.join(bad, key.eqNullSafe(F.col(name)), "left_anti")
 
 
 def contaminated() -> Column:

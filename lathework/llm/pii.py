@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.llm.boosting import BoostedTrees
+from lathework.llm.common import fresh
 
 LOCAL = r"[A-Za-z0-9._%+-]"
 PATTERNS = {
@@ -182,21 +183,22 @@ def find_pii(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     docs = docs.drop("n_email", "n_ip", "n_card", "n_phone", "base_spans", "spans")
     body = F.coalesce(F.col(text), F.lit(""))
     trees, thresholds = fit_trees(docs.select(id, text), body, F.pmod(F.xxhash64(text), F.lit(5)))
+    of_kind, every_base = {k: fresh(docs, f"own_{k}") for k in PATTERNS}, fresh(docs, "own_base")
     found = docs
     for kind in PATTERNS:
-        found = found.withColumn(f"__{kind}", base_spans(kind, body))
-    every = F.concat(*(f"__{k}" for k in PATTERNS))
-    found = found.withColumn("__base", F.transform(every, lambda x: F.struct(x["start"], x["stop"])))
+        found = found.withColumn(of_kind[kind], base_spans(kind, body))
+    every = F.concat(*of_kind.values())
+    found = found.withColumn(every_base, F.transform(every, lambda x: F.struct(x["start"], x["stop"])))
     kinds = []
     for kind in ("email", "ip", "card", "phone", "secret"):
-        own = F.transform(f"__{kind}", lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"))) if kind in PATTERNS else F.array().cast("array<struct<start:int,stop:int>>")
+        own = F.transform(of_kind[kind], lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"))) if kind in PATTERNS else F.array().cast("array<struct<start:int,stop:int>>")
         if trees is not None and kind in CANDIDATES and thresholds[kind] < 1:
             cut = math.log(thresholds[kind] / (1 - thresholds[kind])) - 1e-9
             good = F.filter(proposed(kind, body), lambda c: trees.log_odds(features(c)) >= cut)
             good = F.transform(good, lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop")))
-            new = F.filter(good, lambda c: ~F.exists("__base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
+            new = F.filter(good, lambda c: ~F.exists(every_base, lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
             own = F.array_sort(F.concat(own, new))
         kinds.append(listed(kind, own))
-    base = F.concat(*(listed(k, F.col(f"__{k}")) for k in PATTERNS))
-    counts = {f"n_{k}": F.size(f"__{k}").cast("long") for k in PATTERNS}
-    return found.withColumns({**counts, "base_spans": base, "spans": F.concat(*kinds)}).drop("__base", *(f"__{k}" for k in PATTERNS))
+    base = F.concat(*(listed(k, F.col(of_kind[k])) for k in PATTERNS))
+    counts = {f"n_{k}": F.size(of_kind[k]).cast("long") for k in PATTERNS}
+    return found.withColumns({**counts, "base_spans": base, "spans": F.concat(*kinds)}).drop(every_base, *of_kind.values())

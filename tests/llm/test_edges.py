@@ -437,6 +437,27 @@ def test_pii_base_spans_match_python(spark):
     assert find_pii(empty(spark)).count() == 0
 
 
+CLASHING = ["__id", "__lost", "__bad", "__gone", "__base", "__email", "id", "key", "group", "own_id", "own_lost", "own_key", "own_base", "own_email", "n", "chunk", "rank", "copies"]
+
+
+def test_clashing_columns_are_kept(spark):
+    plain = frame(spark).select("doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"])
+    clash = plain.select("*", *(F.lit(c).alias(c) for c in CLASHING))
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    whole = {
+        "lines": drop_repeated_lines, "near": drop_near_duplicates, "contaminated": lambda d: drop_contaminated(d, items), "pii": find_pii, "quality": lambda d: score_quality(d, labels),
+    }
+    for name, fn in whole.items():
+        got, want = fn(clash), fn(plain)
+        assert set(got.columns) == set(want.columns) | set(CLASHING), name
+        assert collected(got.select(want.columns)) == collected(want), name
+        assert all(tuple(r) == tuple(CLASHING) for r in got.select(CLASHING).collect()), name
+    alone = {"groups": simhash_groups, "overlap": lambda d: overlap(d, items), "repeats": drop_repeats, "packing": lambda d: pack(d, JSON, RANKS), "katz": lambda d: score_katz(d, training_rows("doc_id", 7, 2))}
+    for name, fn in alone.items():
+        assert fn(clash).count() == fn(plain).count(), name
+
+
 # 1
 
 
