@@ -200,10 +200,11 @@ def first_prompt(blocks: Column) -> Column:
 
 def shannon_entropy(c: Column) -> Column:
     """Bits per character; 0 for an empty text. Characters are counted in order of their first occurrence."""
-    chars = F.filter(F.split(text_of(c), ""), lambda x: x != "")
-    n = F.size(chars).cast("double")
-    share = lambda d: F.size(F.filter(chars, lambda x: x == d)) / n
-    return F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda a, d: a - share(d) * F.log2(share(d)))
+    t = text_of(c)
+    chars = F.filter(F.array_distinct(F.split(t, "")), lambda x: x != "")
+    n = F.length(t).cast("double")
+    share = lambda d: (F.length(t) - F.length(F.replace(t, d, F.lit("")))) / n
+    return F.aggregate(chars, F.lit(0.0), lambda a, d: a - share(d) * F.log2(share(d)))
 
 
 def redact_to_fixpoint(c: Column, pattern: str, replacement: str, rounds: int = 3) -> Column:

@@ -52,7 +52,7 @@ ADAPTERS = {
                CASE WHEN o_orderkey % 4 = 0 THEN 'The Socket Connection was closed unexpectedly' ELSE 'TypeError: x' END AS error_text,
                CASE WHEN o_orderkey % 18 = 0 THEN 'xml_missing' END AS p2p_error,
                CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE floor(o_totalprice) / 100000 END AS cost_usd, o_orderpriority AS model
-        FROM {orders} WHERE o_custkey % 25 = 0""",
+        FROM {orders}""",
     "turns": """
         SELECT conv_id AS sid, turn AS seq, turn AS line_no, role, text, CAST(conv_id * 10 + turn * turn * 400 AS DOUBLE) AS ts_epoch
         FROM {conversations}""",

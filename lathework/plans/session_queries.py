@@ -77,9 +77,9 @@ def _(spark, sf):
     return votes.select("sid", repo.alias("repo"), resolution.alias("resolution"))
 
 
-@query("jo05_as_of", "SELECT c_custkey, l_shipdate, o.o_orderkey AS last_order FROM (SELECT l_shipdate, l_orderkey % 500 AS c_custkey FROM lineitem WHERE l_partkey % 20 = 0) e ASOF LEFT JOIN (SELECT o_custkey % 500 AS k, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL) o ON e.c_custkey = o.k AND e.l_shipdate >= o.o_orderdate")
+@query("jo05_as_of", "SELECT c_custkey, l_shipdate, o.o_orderkey AS last_order FROM (SELECT l_shipdate, l_orderkey % 500 AS c_custkey FROM lineitem) e ASOF LEFT JOIN (SELECT o_custkey % 500 AS k, o_orderdate, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL) o ON e.c_custkey = o.k AND e.l_shipdate >= o.o_orderdate")
 def _(spark, sf):
-    events = table(spark, sf, "lineitem").where("l_partkey % 20 = 0").select((F.col("l_orderkey") % 500).alias("c_custkey"), "l_shipdate")
+    events = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 500).alias("c_custkey"), "l_shipdate")
     history = table(spark, sf, "orders").select((F.col("o_custkey") % 500).alias("c_custkey"), "o_orderdate", F.col("o_orderkey").alias("last_order"))
     return sessions.as_of(events, history, ["c_custkey"], "l_shipdate", "o_orderdate", "last_order")
 
@@ -118,10 +118,10 @@ def _(spark, sf):
     return sessions.boundaries(turns_with_files(spark, sf))
 
 
-@query("wi07_first_turns", "WITH t AS (SELECT conv_id AS sid, turn AS line_no, substr(text, 1, 1) AS text, CASE WHEN turn % 3 = 0 THEN NULL ELSE CAST(10 - turn AS VARCHAR) END AS ts FROM conversations), k AS (SELECT *, row_number() OVER (PARTITION BY sid, substr(text, 1, 200) ORDER BY line_no) AS n FROM t) SELECT sid, line_no, row_number() OVER (PARTITION BY sid ORDER BY coalesce(ts, ''), line_no) AS seq FROM k WHERE n = 1")
+@query("wi07_first_turns", "WITH t AS (SELECT conv_id AS sid, turn AS line_no, text, CASE WHEN turn % 3 = 0 THEN NULL ELSE CAST(10 - turn AS VARCHAR) END AS ts FROM conversations), k AS (SELECT *, row_number() OVER (PARTITION BY sid, substr(text, 1, 200) ORDER BY line_no) AS n FROM t) SELECT sid, line_no, row_number() OVER (PARTITION BY sid ORDER BY coalesce(ts, ''), line_no) AS seq FROM k WHERE n = 1")
 def _(spark, sf):
     t = adapted(spark, sf, "turns")
-    t = t.select("sid", "line_no", F.substring("text", 1, 1).alias("text"), F.when(F.col("line_no") % 3 != 0, (10 - F.col("line_no")).cast("string")).alias("ts"), F.lit(None).cast("long").alias("raw_idx"))
+    t = t.select("sid", "line_no", "text", F.when(F.col("line_no") % 3 != 0, (10 - F.col("line_no")).cast("string")).alias("ts"), F.lit(None).cast("long").alias("raw_idx"))
     return sessions.first_turns(t).select("sid", "line_no", "seq")
 
 

@@ -1,6 +1,6 @@
 """Queries on texts: predicates, transformations, redaction, labels, leak scans.
 
-Fixtures with all cases stand beside the documents, whose ASCII texts add volume where the engines' regex dialects agree.
+Fixtures with all cases stand beside the documents, which add volume.
 """
 
 from pyspark.sql import functions as F
@@ -18,8 +18,7 @@ TEXTS = [
     (-18, "<command-name>/model</command-name><command-args>big</command-args>"), (-19, "帮我修复 build 报错\nerror: bug\nbug\nbug\nbug"), (-20, "请你重构这个模块的结构，把 collector 拆出来\n报错 报错 报错"), (-21, "explain how does the scheduler work"), (-22, "write docs: readme and changelog\nthen deploy"),
     (-23, "make it pass\n  at run (a.js:10:5)\nFAIL  x"), (-24, "go on with the rest of the long list of things that are still to be done"),
 ]
-ASCII = "(doc_id % 3 = 0 AND lang = 'en')"
-SRC = f"src AS (SELECT id, t FROM {values(TEXTS, 'id, t')} UNION ALL SELECT doc_id, text FROM documents WHERE {ASCII} AND strlen(text) = length(text))"
+SRC = f"src AS (SELECT id, t FROM {values(TEXTS, 'id, t')} UNION ALL SELECT doc_id, text FROM documents)"
 STRIP = "regexp_replace(t, '^\\s+|\\s+$', '', 'g')"
 POLITE = f"regexp_replace(regexp_replace(t, '^\\s*(请你?|帮我|麻烦你?|你|能不能|可以)\\s*', ''), '^\\s+|\\s+$', '', 'g')"
 VERBS = f"'({X.TASK_VERBS})'"
@@ -28,7 +27,7 @@ NOISE = lambda t: f"(regexp_replace({t}, '^\\s+|\\s+$', '', 'g') = '' OR regexp_
 
 
 def texts(spark, sf):
-    docs = table(spark, sf, "documents").where(ASCII).where("octet_length(text) = length(text)")
+    docs = table(spark, sf, "documents")
     return spark.createDataFrame(TEXTS, "id long, t string").unionByName(docs.select(F.col("doc_id").alias("id"), F.col("text").alias("t")))
 
 
@@ -74,7 +73,8 @@ def _(spark, sf):
 
 
 HEAD = f"CASE WHEN trim(split_part(t, chr(10), 1)) <> '' THEN substr(split_part(t, chr(10), 1), 1, 120) ELSE substr(t, 1, 120) END"
-HITS = ", ".join(f"least(len(regexp_extract_all(h, {literal('(?i)' + p)})), 2) * 3.0 + least(len(regexp_extract_all(b, {literal('(?i)' + p)})), 2) AS {n}" for n, p in labels.CATEGORIES.items())
+WORD_END = r"(?:[^\p{L}\p{Nd}_]|$)"  # DuckDB's \b knows ASCII letters only
+HITS = ", ".join(f"least(len(regexp_extract_all(h, {literal('(?i)' + p)})), 2) * 3.0 + least(len(regexp_extract_all(b, {literal('(?i)' + p)})), 2) AS {n}" for n, p in ((n, p.replace(r"\b", WORD_END)) for n, p in labels.CATEGORIES.items()))
 
 
 @query("st23_category_scores", f"WITH {SRC}, s AS (SELECT id, h, substr(t, length(h) + 1) AS b FROM (SELECT id, t, {HEAD} AS h FROM src)), x AS (SELECT id, {HITS} FROM s) SELECT id, {', '.join(f'CAST({n} AS DOUBLE) AS {n}' for n in labels.CATEGORIES)} FROM x")
@@ -211,9 +211,9 @@ def _(spark, sf):
     return spark.createDataFrame([(1, "see `docs/a.md` and \"src/b.ts\" or 'docs/a.md' and x.y")], "id int, t string").select("id", F.array_join(X.quoted_paths(F.col("t")), ",").alias("paths"))
 
 
-@query("st18_entropy", "WITH c AS (SELECT doc_id, unnest(string_split(substr(text, 1, 60), '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS k, sum(count(*)) OVER (PARTITION BY doc_id) AS n FROM c WHERE ch <> '' GROUP BY doc_id, ch) SELECT doc_id, round(-sum(k / n * log2(k / n)), 6) AS entropy FROM n GROUP BY doc_id")
+@query("st18_entropy", "WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS k, sum(count(*)) OVER (PARTITION BY doc_id) AS n FROM c WHERE ch <> '' GROUP BY doc_id, ch) SELECT doc_id, round(-sum(k / n * log2(k / n)), 6) AS entropy FROM n GROUP BY doc_id")
 def _(spark, sf):
-    return table(spark, sf, "documents").where("text <> ''").select("doc_id", F.round(X.shannon_entropy(F.substring("text", 1, 60)), 6).alias("entropy"))
+    return table(spark, sf, "documents").where("text <> ''").select("doc_id", F.round(X.shannon_entropy(F.col("text")), 6).alias("entropy"))
 
 
 SECRETS = [

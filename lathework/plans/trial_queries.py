@@ -47,12 +47,12 @@ def _(spark, sf):
     return out.select("n", "passed", "excluded", *(F.round(c, 6).alias(c) for c in ("p", "lo", "hi")), F.round("halfwidth_pp", 4).alias("halfwidth_pp"))
 
 
-MEMBERS = "members AS (SELECT DISTINCT concat('T', CAST(c_custkey % 70 AS VARCHAR)) AS task, c_mktsegment AS label FROM customer WHERE c_custkey < 300)"
+MEMBERS = "members AS (SELECT DISTINCT concat('T', CAST(c_custkey % 70 AS VARCHAR)) AS task, c_mktsegment AS label FROM customer)"
 
 
 @query("ag15_cells", f"WITH {RATES}, {MEMBERS}, c AS (SELECT label, count(*) AS tasks, coalesce(sum(round_even(rate, 0)), 0)::BIGINT AS solved, count_if(attempts IS NOT NULL AND rate IS NULL) AS excluded, count_if(attempts IS NULL) AS missing FROM members LEFT JOIN rates USING (task) GROUP BY label) SELECT *, tasks - excluded - missing AS scored, CASE WHEN tasks - excluded - missing >= 5 THEN round(100 * solved / (tasks - excluded - missing), 1) END AS pct FROM c")
 def _(spark, sf):
-    members = table(spark, sf, "customer").where("c_custkey < 300").select(F.concat(F.lit("T"), (F.col("c_custkey") % 70).cast("string")).alias("task"), F.col("c_mktsegment").alias("label"))
+    members = table(spark, sf, "customer").select(F.concat(F.lit("T"), (F.col("c_custkey") % 70).cast("string")).alias("task"), F.col("c_mktsegment").alias("label"))
     return trials.cells(members, facts(spark, sf))
 
 
@@ -110,9 +110,9 @@ def _(spark, sf):
     return facts(spark, sf).withColumn("v", gates.gate_nop()).select("trial_id", "v.ok", "v.reason", "v.infra")
 
 
-@query("qa12_gate_consistency", f"WITH {cte('trials')}, g AS (SELECT task, count(*) AS n, count(exception) AS raised, count(DISTINCT reward) + max((reward IS NULL)::INT) AS v FROM trials WHERE trial_id % 5 = 2 GROUP BY task), r AS (SELECT task, CASE WHEN raised > 0 THEN 'exception' WHEN n < 2 THEN 'too_few_runs' WHEN v = 1 THEN '' ELSE 'inconsistent' END AS reason FROM g) SELECT task, reason = '' AS ok, reason, reason IN ('exception', 'too_few_runs') AS infra FROM r")
+@query("qa12_gate_consistency", f"WITH {cte('trials')}, g AS (SELECT task, count(*) AS n, count(exception) AS raised, count(DISTINCT reward) + max((reward IS NULL)::INT) AS v FROM trials GROUP BY task), r AS (SELECT task, CASE WHEN raised > 0 THEN 'exception' WHEN n < 2 THEN 'too_few_runs' WHEN v = 1 THEN '' ELSE 'inconsistent' END AS reason FROM g) SELECT task, reason = '' AS ok, reason, reason IN ('exception', 'too_few_runs') AS infra FROM r")
 def _(spark, sf):
-    return gates.gate_consistency(facts(spark, sf).where("trial_id % 5 = 2"))
+    return gates.gate_consistency(facts(spark, sf))
 
 
 DIAG = "trial_id, reward, subtype, reward IS NOT NULL AS has_reward, trial_id % 6 <> 0 AS started, trial_id % 8 <> 1 AS judged_all, trial_id % 3 AS load_failures, trial_id % 4 AS write_calls, upstream_failure"
@@ -151,11 +151,11 @@ def _(spark, sf):
     return t.select("task").distinct().join(gated, "task", "left").join(scanned, "task", "left").select("task", "oracle", (F.col("leaks") == 0).alias("clean"))
 
 
-@query("qa21_side_score", "WITH req AS (SELECT o_custkey % 40 AS task, 'f' || (o_orderkey % 6) AS file FROM orders WHERE o_orderkey % 9 = 0), s AS (SELECT l_suppkey % 40 AS task, 'f' || (l_orderkey % 6) AS file, sum(l_linenumber) AS tests, sum(CASE WHEN l_quantity > 49 THEN 1 ELSE 0 END) AS failures FROM lineitem WHERE l_partkey % 30 = 0 GROUP BY ALL), r AS (SELECT DISTINCT * FROM req) SELECT task, count(file) AS required, count_if(coalesce(tests > 0 AND failures = 0, FALSE)) AS green, CASE WHEN count_if(coalesce(tests > 0 AND failures = 0, FALSE)) = count(file) THEN 1.0 ELSE 0.0 END::DOUBLE AS score FROM r LEFT JOIN s USING (task, file) GROUP BY task")
+@query("qa21_side_score", "WITH req AS (SELECT o_custkey % 40 AS task, 'f' || (o_orderkey % 6) AS file FROM orders), s AS (SELECT l_suppkey % 40 AS task, 'f' || (l_orderkey % 6) AS file, sum(l_linenumber) AS tests, sum(CASE WHEN l_quantity > 49 THEN 1 ELSE 0 END) AS failures FROM lineitem GROUP BY ALL), r AS (SELECT DISTINCT * FROM req) SELECT task, count(file) AS required, count_if(coalesce(tests > 0 AND failures = 0, FALSE)) AS green, CASE WHEN count_if(coalesce(tests > 0 AND failures = 0, FALSE)) = count(file) THEN 1.0 ELSE 0.0 END::DOUBLE AS score FROM r LEFT JOIN s USING (task, file) GROUP BY task")
 def _(spark, sf):
     name = lambda c: F.concat(F.lit("f"), (F.col(c) % 6).cast("string"))
-    required = table(spark, sf, "orders").where("o_orderkey % 9 = 0").select((F.col("o_custkey") % 40).alias("task"), name("o_orderkey").alias("file")).distinct()
-    suites = table(spark, sf, "lineitem").where("l_partkey % 30 = 0").select((F.col("l_suppkey") % 40).alias("task"), name("l_orderkey").alias("file"), F.col("l_linenumber").alias("tests"), (F.col("l_quantity") > 49).cast("int").alias("failures"))
+    required = table(spark, sf, "orders").select((F.col("o_custkey") % 40).alias("task"), name("o_orderkey").alias("file")).distinct()
+    suites = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 40).alias("task"), name("l_orderkey").alias("file"), F.col("l_linenumber").alias("tests"), (F.col("l_quantity") > 49).cast("int").alias("failures"))
     return gates.side_score(required, suites)
 
 
