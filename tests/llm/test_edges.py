@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lathework.llm import katz, quality
+from lathework.llm.boosting import BoostedTrees
 from lathework.llm.decontaminate import contaminated, drop_contaminated, overlap
 from lathework.llm.hamming import Shard, top_k
 from lathework.llm.katz import score_katz
@@ -437,6 +438,34 @@ def test_pii_base_spans_match_python(spark):
     assert find_pii(empty(spark)).count() == 0
 
 
+def test_pii_adds_disguised_data_and_leaves_the_rest(spark):
+    r = random.Random(5)
+    name = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(4, 9))) + str(r.randint(10, 99))
+    ip = lambda sep: sep.join(str(r.randint(10, 250)) for _ in range(4))
+    key = lambda: "".join(r.choice("0123456789abcdef") for _ in range(38)) + "a1"
+    rows = [(i, f"write to {name()}@mail{i % 7}.example.com from {ip('.')} now{', 300.4.5.6' if i % 40 == 0 else ''} and look at home.The end is at work.Now token = \"{key()}\" or a-long-name-with-words-{i}-in-it", "x", "y") for i in range(400)]
+    texts = {1000: f"write to {name()} [at] mail3.example [dot] com now", 1001: f"host {ip('[.]')} here", 1002: f'it is "{key()}" here', 1003: "look at home.The end of some-words-and-more-words-2024", 1004: "version 300.400.1.2 here", 1005: "4111 1111 1111 1112"}
+    rows += [(i, t, "x", "y") for i, t in texts.items()]
+    found = {x.doc_id: (list(x.base_spans), list(x.spans)) for x in find_pii(frame(spark, rows)).where("doc_id >= 1000").collect()}
+    added = {i: sorted({s.split(":")[0] for s in spans} - {s.split(":")[0] for s in base}) for i, (base, spans) in found.items()}
+    assert added == {1000: ["email"], 1001: ["ip"], 1002: ["secret"], 1003: [], 1004: [], 1005: []}
+    a, z = map(int, found[1000][1][0].split(":")[1:])
+    assert texts[1000][a:z].endswith("example [dot] com") and "[at]" in texts[1000][a:z]
+
+
+def test_boosted_trees_learn_and_their_column_agrees(spark):
+    r = np.random.default_rng(2)
+    x = np.array(list(itertools.product(range(3), range(4), range(2))))
+    truth = (x[:, 0] == 1) ^ (x[:, 1] > 1)
+    good, bad = np.where(truth, 90, 4) + r.integers(0, 5, len(x)), np.where(truth, 3, 80) + r.integers(0, 5, len(x))
+    trees = BoostedTrees(x, good, bad)
+    p = trees.probabilities(x)
+    assert np.abs(p - good / (good + bad)).max() < 0.1 and ((p > 0.5) == truth).all()
+    df = spark.createDataFrame([tuple(map(int, row)) for row in x], "a int, b int, c int")
+    odds = [row[0] for row in df.select(trees.log_odds([F.col(c) for c in "abc"])).collect()]
+    assert np.allclose(odds, np.log(p / (1 - p)), atol=1e-9)
+
+
 CLASHING = ["__id", "__lost", "__bad", "__gone", "__base", "__email", "id", "key", "group", "own_id", "own_lost", "own_key", "own_base", "own_email", "n", "chunk", "rank", "copies"]
 
 
