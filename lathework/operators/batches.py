@@ -67,11 +67,19 @@ def size_statistics(df: DataFrame, bytes_column: str) -> DataFrame:
 
 def regression_candidates(green: DataFrame, touched: DataFrame, most: int = 30) -> DataFrame:
     """(task, path, tier, tests, rank): green files (path, tests) for tasks (task, path touched): same folder first, then
-    same top folder, then others; many tests first; never a touched file."""
+    same top folder, then others; many tests first; never a touched file. Files of a touched top folder are joined by
+    it. Of the others the best `most` of every top folder are enough, and of these the first `most` for one more folder
+    than a task touches at most, so every task meets a short list and not all files."""
     folder = lambda c: F.when(F.instr(c, "/") > 0, F.regexp_replace(c, "/[^/]*$", "")).otherwise("")
     of = touched.groupBy("task").agg(F.collect_set("path").alias("own"), F.collect_set(F.when(F.instr("path", "/") > 0, folder("path"))).alias("dirs"), F.collect_set(F.substring_index("path", "/", 1)).alias("tops"))
-    tier = F.when(F.array_contains("dirs", folder("path")), 0).when(F.array_contains("tops", F.substring_index("path", "/", 1)), 1).otherwise(2)
-    pairs = green.join(F.broadcast(of)).where(~F.array_contains("own", F.col("path"))).withColumn("tier", tier)
+    files = green.withColumn("top", F.substring_index("path", "/", 1))
+    near = files.join(of.withColumn("top", F.explode("tops")), "top").where(~F.array_contains("own", F.col("path")))
+    near = near.select("task", "path", "tests", F.when(F.array_contains("dirs", folder("path")), 0).otherwise(1).alias("tier"))
+    folders = of.agg(F.coalesce(F.max(F.size("tops")), F.lit(0))).first()[0]
+    best = Window.partitionBy("top").orderBy(F.desc("tests"), "path")
+    short = files.withColumn("place", F.row_number().over(best)).where(F.col("place") <= most).orderBy(F.desc("tests"), "path").limit(most * (folders + 1))
+    far = of.select("task", "tops").crossJoin(F.broadcast(short)).where(~F.array_contains("tops", F.col("top"))).select("task", "path", "tests", F.lit(2).alias("tier"))
+    pairs = near.unionByName(far)
     w = Window.partitionBy("task").orderBy("tier", F.desc("tests"), "path")
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most).select("task", "path", "tier", "tests", "rank")
 

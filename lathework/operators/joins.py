@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,8 +53,39 @@ def latest(df: DataFrame, by: list[str], order: str) -> DataFrame:
 
 
 def set_digest(df: DataFrame, line: Column, end: str = "\n", joiner: str = "\n") -> DataFrame:
-    """sha256 of sorted lines. The lines of one digest meet in one row, as the digest needs them all in order."""
-    return df.agg(F.sha2(F.concat(F.array_join(F.array_sort(F.collect_list(line)), joiner), F.lit("" if end == joiner else end)), 256).alias("digest"), F.count(F.lit(1)).alias("n"))
+    """sha256 of the sorted lines, and their number. The digest needs them in order, so one task reads them; it sorts with
+    spilling and hashes batch by batch, and holds neither a list nor the whole string."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, n = hashlib.sha256(), 0
+        for batch in batches:
+            for x in batch.column(0).cast(pa.binary()):
+                digest.update((joiner.encode() if n else b"") + x.as_py())
+                n += 1
+        digest.update(b"" if end == joiner else end.encode())
+        yield pa.RecordBatch.from_arrays([pa.array([digest.hexdigest()]), pa.array([n], pa.int64())], ["digest", "n"])
+
+    lines = df.select(line.alias("line")).where("line is not null").repartition(1).sortWithinPartitions("line")
+    nothing = hashlib.sha256(b"" if end == joiner else end.encode()).hexdigest()
+    return lines.mapInArrow(hashed, "digest string, n long").agg(F.coalesce(F.max_by("digest", "n"), F.lit(nothing)).alias("digest"), F.coalesce(F.max("n"), F.lit(0).cast("long")).alias("n"))
+
+
+def at_ranks(df: DataFrame, column: str, ranks: dict[str, Callable[[Column], Column]], cells: int = 1024) -> DataFrame:
+    """One row with the values at the given places (from 0; functions of the count) of the sorted non-null values. A
+    histogram of `cells` equal ranges finds the range of each place, and only values of these ranges are sorted."""
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("k"))
+    whole = values.agg(F.sum("k").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    cell = F.coalesce(F.least(F.floor(F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")) * cells), F.lit(cells - 1)), F.lit(0)).cast("int")
+    values = values.crossJoin(F.broadcast(whole)).withColumn("cell", cell)
+    upto = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = values.groupBy("cell").agg(F.sum("k").alias("k"), F.max("n").alias("n")).withColumn("stop", F.sum("k").over(upto))  # at most `cells` rows
+    wanted = F.array(*(F.struct(F.lit(name).alias("name"), rank(F.col("n")).cast("long").alias("rank")) for name, rank in ranks.items()))
+    places = held.withColumn("w", F.explode(wanted)).select("cell", F.col("w.name").alias("name"), (F.col("w.rank") - (F.col("stop") - F.col("k"))).alias("rank"), "k").where("rank >= 0 and rank < k")
+    inside = Window.partitionBy("cell").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = values.join(F.broadcast(places.select("cell").distinct()), "cell").withColumn("stop", F.sum("k").over(inside))
+    found = near.drop("n").alias("a").join(F.broadcast(places.select("cell", "name", "rank")).alias("b"), "cell").where("stop > rank")
+    least = found.groupBy("name").agg(F.min("v").alias("v"))
+    return least.agg(*(F.max(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in ranks))
 
 
 def batch_fingerprint(sessions: DataFrame) -> DataFrame:

@@ -109,12 +109,6 @@ def top_groups(df: DataFrame, dims: Sequence[str], most: int = 30) -> DataFrame:
     return counted.crossJoin(F.broadcast(total)).withColumn("share", F.col("n") / F.col("total")).drop("total").orderBy(F.desc("n"), *dims).limit(most)
 
 
-def upper_median(c: str) -> Column:
-    """The element at half the count of the sorted values, not interpolated."""
-    values = F.array_sort(F.collect_list(c))
-    return F.get(values, F.floor(F.size(values) / 2).cast("int"))
-
-
 def overview(df: DataFrame) -> DataFrame:
     """Counts and the upper median of edit operations. The median reads a histogram, not a list of all values."""
     edits = df.where(F.col("edit_ops").isNotNull()).groupBy("edit_ops").agg(F.count(F.lit(1)).alias("n"))

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from lathework.functions import text as X
 
 GAP_SECONDS = 30 * 60
+STRETCH = 64
 
 
 def first_turns(turns: DataFrame) -> DataFrame:
@@ -118,9 +119,13 @@ def measures(steps: DataFrame, *keys: str) -> DataFrame:
 
 
 def measures_in_intervals(intervals: DataFrame, steps: DataFrame) -> DataFrame:
-    """Measures of the steps inside each interval, 0 where it is null or empty. Every interval gives a row."""
-    s = steps.select("sid", F.col("idx").alias("i"), "is_edit", "is_error", "tool")
-    joined = intervals.join(s, (intervals["sid"] == s["sid"]) & s["i"].between(intervals["lo"], intervals["hi"]), "left").drop(s["sid"])
+    """Measures of the steps inside each interval, 0 where it is null or empty. Every interval gives a row. Intervals
+    meet the steps of the stretches of STRETCH steps that they touch, not all steps of their session."""
+    s = steps.select("sid", F.col("idx").alias("i"), "is_edit", "is_error", "tool", F.floor(F.col("idx") / STRETCH).alias("stretch"))
+    touched = F.when(F.col("lo") <= F.col("hi"), F.sequence(F.floor(F.col("lo") / STRETCH), F.floor(F.col("hi") / STRETCH)))
+    parts = intervals.withColumn("stretch", F.explode_outer(touched))
+    same = (parts["sid"] == s["sid"]) & (parts["stretch"] == s["stretch"]) & s["i"].between(parts["lo"], parts["hi"])
+    joined = parts.join(s, same, "left").drop(s["sid"], s["stretch"])
     return joined.groupBy("unit_id").agg(F.count("i").alias("n_steps"), F.count_if("is_edit").alias("edit_ops"), F.count_if("is_error").alias("error_ops"), F.count_distinct("tool").alias("n_tools"))
 
 

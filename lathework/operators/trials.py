@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from lathework.functions import stats
 from lathework.functions.text import text_of
+from lathework.operators.joins import at_ranks
 
 # Fixed values that results depend on.
 BUDGET_EXCEPTIONS = ["AgentTimeoutError"]
@@ -88,12 +89,11 @@ def side_split(trials: DataFrame) -> DataFrame:
 
 
 def cost_stats(trials: DataFrame) -> DataFrame:
-    """Over trials that report a cost: total, mean, averaged median, the element at int(0.9 n), maximum. The last but one
-    needs the sorted costs in one row, which is fine for the few thousand trials of an evaluation."""
-    costs = F.array_sort(F.collect_list("cost_usd"))
-    n = F.count("cost_usd")
-    p90 = F.get(costs, F.least(n - 1, F.floor(n * 0.9)).cast("int"))
-    return trials.agg(n.alias("n"), F.sum("cost_usd").alias("total"), F.avg("cost_usd").alias("mean"), F.median("cost_usd").alias("median"), F.max("cost_usd").alias("max"), p90.alias("p90"))
+    """Over trials that report a cost: total, mean, averaged median, the element at int(0.9 n), maximum."""
+    sums = trials.agg(F.count("cost_usd").alias("n"), F.sum("cost_usd").alias("total"), F.avg("cost_usd").alias("mean"), F.max("cost_usd").alias("max"))
+    places = {"lower": lambda n: F.floor((n - 1) / 2), "upper": lambda n: F.floor(n / 2), "p90": lambda n: F.least(n - 1, F.floor(n * 0.9))}
+    ranked = at_ranks(trials, "cost_usd", places).select(((F.col("lower") + F.col("upper")) / 2).alias("median"), "p90")
+    return sums.crossJoin(ranked).select("n", "total", "mean", "median", "max", "p90")
 
 
 def controlled(trials: DataFrame, columns: list[str]) -> DataFrame:

@@ -1,5 +1,7 @@
 """Operators on literal rows: rules, partitions, boundaries, votes, redaction, statistics, gates and their mutations."""
 
+import hashlib
+import random
 from fractions import Fraction
 
 import pytest
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from lathework import schema
 from lathework.functions import redaction, stats
 from lathework.functions import text as X
-from lathework.operators import gates, joins, labels, rebuild, selection, sessions, trials
+from lathework.operators import batches, gates, joins, labels, rebuild, selection, sessions, trials
 
 SESSION = {"sid": "s", "steps": 20, "tool_call_count": 10, "total_tokens": 50_000, "exit_status": "success", "excluded_hit": False}
 SESSION_DDL = "sid string, steps long, tool_call_count long, total_tokens long, exit_status string, excluded_hit boolean"
@@ -253,3 +255,38 @@ def test_schema_checks(spark):
     with pytest.raises(ValueError, match="missing columns"):
         schema.assert_schema(df, schema.TRIALS)
     assert [r.column_name for r in schema.all_null_columns(df).collect()] == ["run"]
+
+
+def test_values_at_ranks_without_sorting_the_table(spark):
+    r = random.Random(2)
+    for values in ([], [3.0], [1.5] * 9, [r.choice([1.0, 2.5, 1e9, -7.0]) for _ in range(200)], [r.random() ** 4 for _ in range(3000)]):
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+        got = joins.at_ranks(df, "v", {"least": lambda n: F.lit(0), "middle": lambda n: F.floor(n / 2), "last": lambda n: n - 1}, cells=16).first()
+        want = sorted(values)
+        assert tuple(got) == ((want[0], want[len(want) // 2], want[-1]) if want else (None, None, None))
+
+
+def test_digest_of_sorted_lines(spark):
+    lines = [f"line {i * 7919 % 101}" for i in range(300)] + ["", "é"]
+    df = spark.createDataFrame([(x,) for x in lines], "x string").repartition(5)
+    want = hashlib.sha256("\n".join(sorted(lines, key=str.encode)).encode()).hexdigest()
+    assert tuple(joins.set_digest(df, F.col("x")).first()) == (want, len(lines))
+    assert tuple(joins.set_digest(df.limit(0), F.col("x")).first()) == (hashlib.sha256(b"").hexdigest(), 0)
+
+
+def test_regression_candidates_against_all_pairs(spark):
+    r = random.Random(7)
+    name = lambda: "/".join(r.choice("abcd") for _ in range(r.randint(0, 2))) + ("/" if r.random() < 0.7 else "") + f"f{r.randint(0, 30)}"
+    green = sorted({name().lstrip("/") for _ in range(120)})
+    tests = {g: r.randint(1, 5) for g in green}
+    touched = sorted({(f"T{r.randint(0, 9)}", r.choice(green) if r.random() < 0.5 else name().lstrip("/")) for _ in range(30)})
+    folder = lambda p: p.rsplit("/", 1)[0] if "/" in p else ""
+    want = []
+    for task in {t for t, _ in touched}:
+        own = {p for t, p in touched if t == task}
+        dirs, tops = {folder(p) for p in own if "/" in p}, {p.split("/")[0] for p in own}
+        tier = lambda p: 0 if folder(p) in dirs else 1 if p.split("/")[0] in tops else 2  # noqa: E731, B023
+        best = sorted((tier(p), -tests[p], p) for p in green if p not in own)[:6]
+        want += [(task, p, t, -n, i + 1) for i, (t, n, p) in enumerate(best)]
+    got = batches.regression_candidates(spark.createDataFrame(list(tests.items()), "path string, tests int"), spark.createDataFrame(touched, "task string, path string"), 6)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
