@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,12 +34,34 @@ def local_folder() -> str:
     return "file://" + tempfile.mkdtemp(prefix="lathework-")
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that `written` makes inside are deleted at the end. For results that are stored by then, as tables are read
+    lazily."""
+    before, MADE[:] = list(MADE), []
+    try:
+        yield
+    finally:
+        for path in MADE:
+            delete(spark, path)
+        MADE[:] = before
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+MADE: list[str] = []
+
+
 def written(df: DataFrame, what: str, rows: int | None = None) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage and survives lost executors. With a bound of its rows it gets
     one file for every 50,000 of them at most, so that small tables are not hundreds of files."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
     df = df if rows is None else df.coalesce(max(1, -(-rows // 50_000)))
+    MADE.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

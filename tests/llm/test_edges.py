@@ -26,7 +26,7 @@ from lathework.llm.pii import PATTERNS, find_pii
 from lathework.llm.quality import LineCrf, score_quality, training_rows
 from lathework.llm.repeats import drop_repeats, lcp_intervals, maximal_repeats
 from lathework.llm.simhash import drop_near_duplicates, near_duplicate_groups, shingles, simhash_groups
-from lathework.llm.url_filter import CharModel, judge_urls
+from lathework.llm.url_filter import CharModel, RatioModel, judge_urls
 from tests.llm.fixtures import ITEM, LINE, documents, empty, frame
 
 JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -590,6 +590,39 @@ def test_url_rules_and_ratio(spark):
     assert {r.verdict for r in judge_urls(pages.where("page_id < 0 or page_id = 4"), RULES).collect()} == {"allow"}
 
 
+def plain_probability(texts, order, context, char):
+    """Witten-Bell interpolation by counting in the padded texts."""
+    p = 1 / 257
+    for k in range(order + 1):
+        own = context[len(context) - k :]
+        after = Counter(t[i + k] for t in texts for i in range(order - k, len(t) - k) if t[i : i + k] == own)
+        if not after:
+            break
+        p = (after[char] + len(after) * p) / (sum(after.values()) + len(after))
+    return p
+
+
+def test_ratio_and_threshold_by_counting():
+    r = random.Random(9)
+    accepted, rejected = (["".join(r.choice(letters) for _ in range(r.randint(3, 9))) for _ in range(25)] for letters in ("abcx", "cdex"))
+    model = RatioModel(accepted, rejected, 2)
+
+    def ratio(text):
+        out = 0.0
+        for sign, all_texts in ((1, accepted), (-1, rejected)):
+            texts = ["\x02\x02" + t + "\x02" for i, t in enumerate(all_texts) if i % 5]
+            padded = "\x02\x02" + text + "\x02"
+            out += sign * sum(math.log(plain_probability(texts, 2, padded[i - 2 : i], padded[i])) for i in range(2, len(padded)))
+        return out / (len(text) + 1)
+
+    for text in (*accepted[:6], *rejected[:6], "", "zzz", "abcde"):
+        assert abs(model.ratio(text) - ratio(text)) < 1e-9
+    yes, no = [ratio(t) for t in accepted[::5]], [ratio(t) for t in rejected[::5]]
+    wrong = lambda cut: sum(x < cut for x in yes) / len(yes) + sum(x >= cut for x in no) / len(no)
+    cuts = sorted(yes + no)
+    assert wrong(model.threshold) <= min(wrong((a + b) / 2) for a, b in itertools.pairwise(cuts)) + 1e-9
+
+
 def test_character_model_is_a_distribution():
     m = CharModel(["abcab", "abd"], 3)
     for context in ("\x02\x02\x02", "\x02ab", "zzz"):

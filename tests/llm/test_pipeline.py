@@ -96,3 +96,14 @@ def test_repeats_on_the_test_tables(spark):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert collected(drop_repeats(docs)) == brute_repeats(rows)
     assert re.fullmatch("[0-9a-f]{64}", drop_repeats(docs).first().kept_sha256)
+
+
+def test_run_gives_the_last_stage_and_deletes_the_others(spark, stages):
+    from lathework.llm.common import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    got = corpus_pipeline.run(spark, DATA)
+    assert collected(got.select("doc_id", "start", "length", "ids_crc32").where("start = 0").select("doc_id").distinct()) == collected(stages["packing"].select("doc_id").distinct())
+    made = set(os.listdir(folder)) - before
+    assert len(made) == 1 and os.listdir(f"{folder}/{made.pop()}") == ["packing"]
