@@ -134,7 +134,7 @@ def even_stride(df: DataFrame, order: str, k: int) -> DataFrame:
 
 def seeded_sample(df: DataFrame, key: str, seed: int, n: int) -> DataFrame:
     """n rows by hash of key and seed; the same rows for any partitioning."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("#", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
 
 
 def most_common(df: DataFrame, key: str, k: int | None = None) -> DataFrame:

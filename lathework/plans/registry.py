@@ -5,6 +5,8 @@ Adapters are SQL that both engines read alike; the operators themselves are appl
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +76,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share; a local one only where none is set and Spark runs on this machine alone."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="lathework-")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def literal(value) -> str:
     if value is None:
         return "NULL"

@@ -91,7 +91,7 @@ def _(spark, sf):
     return joins.even_stride(table(spark, sf, "documents").select("doc_id"), "doc_id", 20)
 
 
-@query("so03_seeded_sample")
+@query("so03_seeded_sample", "SELECT doc_id, lang FROM documents ORDER BY md5(concat(doc_id, '#20260905')), doc_id LIMIT 50")
 def _(spark, sf):
     return joins.seeded_sample(table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", 20260905, 50)
 
