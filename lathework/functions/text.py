@@ -28,7 +28,9 @@ VENDORS = [("claude", "anthropic"), ("deepseek", "deepseek"), ("gpt", "openai"),
 ANSWER_KEYS = ["tool_result_content", "response_content", "patch_content", "observation_content", "completion_text"]
 BOUNDARY_CONFIDENCE = {"B_FIRST": "high", "B_TIME_GAP": "high", "B_FILE_DISJOINT": "high", "B_TASK_PATTERN": "medium"}
 FOLLOWUP_SHORT, TASK_LONG, ARGS_LONG = 20, 40, 15
-FENCE_MARK = "[code block omitted]"
+FENCE_MARK = "（此处原有一段代码块，评测题面已移除。）"
+PROMPT_MARKS = ["<system-reminder>", "<local-command", "<command-name>", "[SUGGESTION MODE", "The user stepped away", "Caveat:"]
+WORKING_DIRECTORY = r"(?:Primary working directory|Working directory|Current working directory)\s*[:=]\s*(/[^\n\"\\'`]+?)\s*\n"
 
 
 def text_of(c: Column) -> Column:
@@ -193,8 +195,7 @@ def answer_key_hits(c: Column) -> Column:
 
 def first_prompt(blocks: Column) -> Column:
     """The first block that is no system tag and longer than 10, else the first."""
-    marks = ["<system-reminder>", "<local-command", "<command-name>", "[SUGGESTION MODE", "The user stepped away", "Caveat:"]
-    good = F.filter(blocks, lambda t: ~starts_with_any(stripped(t), marks) & (F.length(stripped(t)) > 10))
+    good = F.filter(blocks, lambda t: ~starts_with_any(stripped(t), PROMPT_MARKS) & (F.length(stripped(t)) > 10))
     return F.coalesce(F.get(good, F.lit(0)), F.get(blocks, F.lit(0)))
 
 
@@ -215,9 +216,6 @@ def redact_to_fixpoint(c: Column, pattern: str, replacement: str, rounds: int =
     return out
 
 
-WORKING_DIRECTORY = r"(?:Primary working directory|Working directory|Current working directory)\s*[:=]\s*(/[^\n\"\\'`]+?)\s*\n"
-
-
 def working_directories(c: Column) -> Column:
     """Declared working directories; a name may hold spaces, so a line end closes it."""
     return F.regexp_extract_all(text_of(c), F.lit(WORKING_DIRECTORY), F.lit(1))

@@ -50,11 +50,10 @@ over(
     f"SELECT l_orderkey, l_linenumber, l_partkey, repo, CASE WHEN starts_with(path, concat('{ROOT}', repo, '/')) THEN substr(path, length(concat('{ROOT}', repo, '/')) + 1) END AS relative, CASE WHEN starts_with(bare, concat('{ROOT}', repo, '/')) THEN substr(bare, length(concat('{ROOT}', repo, '/')) + 1) END AS known, coalesce(starts_with(path, concat('{ROOT}', repo, '/')), FALSE) AS same, CASE WHEN starts_with(path, '{ROOT}team/app{TREE}') THEN 'same_repo_worktree' WHEN starts_with(path, '{ROOT}') THEN 'cross_repo' ELSE 'out_of_scope' END AS dropped FROM (SELECT *, {REPO} AS repo FROM (SELECT *, split_part(path, '{TREE}', 1) AS bare FROM src))",
     lambda d: d.withColumn("repo", P.repo_of(F.col("path"), ROOT, REPOS)).withColumn("relative", P.relative_path(F.col("path"), ROOT, F.col("repo"))).select("l_orderkey", "l_linenumber", "l_partkey", "repo", "relative", P.relative_in_known(F.col("path"), ROOT, REPOS).alias("known"), P.round_trips(F.col("path"), F.col("relative"), ROOT, F.col("repo")).alias("same"), P.classify_dropped(F.col("path"), ROOT, F.lit("team/app")).alias("dropped")),
 )
-MARKS = ["<system-reminder>", "<local-command", "<command-name>", "[SUGGESTION MODE", "The user stepped away", "Caveat:"]
 over(
     "st06_first_prompts_of_conversations",
     "SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN concat('  <system-reminder>', text) WHEN 1 THEN substr(text, 1, CAST(5 + conv_id % 9 AS INT)) ELSE text END AS t FROM {conversations}",
-    f"SELECT conv_id, coalesce(arg_min(t, turn) FILTER (WHERE length(s) > 10 AND NOT ({' OR '.join(f'starts_with(s, {literal(m)})' for m in MARKS)})), arg_min(t, turn)) AS prompt FROM (SELECT *, regexp_replace(t, '^\\s+|\\s+$', '', 'g') AS s FROM src) GROUP BY conv_id",
+    f"SELECT conv_id, coalesce(arg_min(t, turn) FILTER (WHERE length(s) > 10 AND NOT ({' OR '.join(f'starts_with(s, {literal(m)})' for m in X.PROMPT_MARKS)})), arg_min(t, turn)) AS prompt FROM (SELECT *, regexp_replace(t, '^\\s+|\\s+$', '', 'g') AS s FROM src) GROUP BY conv_id",
     lambda d: d.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "t"))), lambda x: x["t"]).alias("b")).select("conv_id", X.first_prompt(F.col("b")).alias("prompt")),
 )
 over(
