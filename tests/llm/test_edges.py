@@ -20,6 +20,7 @@ from lathework.llm.boosting import BoostedTrees
 from lathework.llm.decontaminate import contaminated, drop_contaminated, overlap
 from lathework.llm.hamming import Shard, top_k
 from lathework.llm.katz import score_katz
+from lathework.llm.katz_orders import score_orders
 from lathework.llm.line_dedup import Bloom, drop_repeated_lines
 from lathework.llm.packing import combinations, nonnegative_least_squares, pack, packed, plan
 from lathework.llm.pii import PATTERNS, find_pii
@@ -409,6 +410,69 @@ def test_katz_matches_brute_force_and_sums_to_one(spark):
     assert untrained == 0.0
 
 
+def brute_katz(rows, order):
+    """log10 P(word | history words) by recursion over dictionaries, and the training texts."""
+    tokens = lambda t: (t or "").encode().lower().split() + [b"\n"]
+    learnt = [tokens(t) for i, t, *_ in rows if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    unigrams = Counter(x for t in learnt for x in t)
+    of = lambda c: np.array([sum(v == r for v in c.values()) for r in range(1, 7)])
+    model = katz.Unigrams(sum(unigrams.values()), len(unigrams), of(unigrams))
+    grams = {n: Counter() for n in range(2, order + 1)}
+    for t in learnt:
+        s = [b"", *t]
+        for n, counts in grams.items():
+            counts.update(tuple(s[i - n + 1 : i + 1]) for i in range(n - 1, len(s)))
+    d = {n: katz.discounts(of(c)) for n, c in grams.items()}
+    after = defaultdict(dict)
+    for c in grams.values():
+        for g, k in c.items():
+            after[g[:-1]][g[-1]] = k
+
+    def probability(history, word):
+        if not history:
+            return float(model.probability(np.array([unigrams[word]]))[0])
+        seen = after.get(history)
+        if seen is None:
+            return probability(history[1:], word)
+        own = d[len(history) + 1]
+        total = sum(seen.values()) + all(k > 5 for k in seen.values())
+        if word in seen:
+            return own[min(seen[word], 6)] * seen[word] / total
+        if history not in weight:
+            weight[history] = (1 - sum(own[min(k, 6)] * k for k in seen.values()) / total) / (1 - sum(probability(history[1:], w) for w in seen))
+        return weight[history] * probability(history[1:], word)
+
+    weight: dict = {}
+    return probability, tokens, unigrams, after
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_katz_of_any_order_matches_brute_force_and_sums_to_one(spark, order):
+    rows = documents()
+    rows.append((70, "the of and the of and the of " * 40, "x", "y"))
+    probability, tokens, unigrams, after = brute_katz(rows, order)
+    train = training_rows("doc_id", 7, 2)
+    found = collected(score_orders(frame(spark, rows), train, order).select("doc_id", "train", "n_tokens", "n_known", "base_score", "score"))
+    n, v = sum(unigrams.values()), len(unigrams)
+    want = []
+    for i, t, *_ in rows:
+        w = tokens(t)
+        s = [b"", *w]
+        score = sum(math.log10(probability(tuple(s[max(0, p - order + 1) : p]), s[p])) for p in range(1, len(s)))
+        own = i is not None and zlib.crc32(str(i).encode()) % 7 != 2
+        want.append((i, own, len(w), sum(unigrams[x] > 0 for x in w), sum(math.log10((unigrams[x] + 1) / (n + v + 1)) for x in w), score))
+    for got, ref in zip(found, sorted(want, key=repr), strict=True):
+        assert got[:4] == ref[:4] and np.allclose(got[4:], ref[4:], rtol=1e-9)
+    for history in list(after)[:: max(1, len(after) // 12)]:
+        assert abs(sum(probability(history, w) for w in unigrams) + probability(history, b"never seen") - 1) < 1e-9
+    if order == 2:
+        packed_form = collected(score_katz(frame(spark, rows), train).select("doc_id", "train", "n_tokens", "n_known", "base_score", "score"))
+        assert all(np.allclose(a[4:], b[4:], rtol=1e-9) for a, b in zip(found, packed_form, strict=True))
+    else:
+        assert score_orders(empty(spark), train).count() == 0
+        assert score_orders(frame(spark), F.lit(False)).agg(F.max(F.abs("score"))).first()[0] == 0.0
+
+
 # 9
 
 
