@@ -191,7 +191,7 @@ def unigram_table(chunks: DataFrame, buckets: int) -> DataFrame:
             out.append((2, -1, bucket, packed(hashes=planes(hashes), counts=small(counts))))
             yield rows_of(out, ANSWER)
 
-    dealt = chunks.select("chunk", "words").mapInArrow(sent, "bucket long, chunk long, data binary").repartition(min(buckets, partitions(chunks.sparkSession)), "bucket")
+    dealt = chunks.select("chunk", "words").mapInArrow(sent, "bucket long, chunk long, data binary").repartition(max(1, min(buckets, partitions(chunks.sparkSession) // 4)), "bucket")  # little work: few files
     return dealt.sortWithinPartitions("bucket", "chunk").mapInArrow(added, ANSWER_SQL)
 
 
