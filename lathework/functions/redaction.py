@@ -28,11 +28,21 @@ INTERNAL_DOMAIN = r"\b[a-zA-Z0-9-]+\.(?:internal|local|corp|intranet|alibaba-inc
 MOBILE = r"(?<![0-9.])1[3-9][0-9]{9}(?![0-9.])"
 EMAIL = r"\b[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\b"
 HOME_PATH = r"(/(?:Users|home))/([A-Za-z0-9._-]+)"
+WORD = "[\\p{L}\\p{Nd}_\U00010000]"  # a letter beyond 16 bits makes Java look behind by code points
+FIRST = {AWS_KEY: "A", GITHUB_TOKEN: "g", JWT: "e", GENERIC_KEY: "s", ID_NUMBER: "[0-9]", PRIVATE_IP: "1"}
 PUBLIC_MAIL = ["gmail.com", "qq.com", "163.com", "126.com", "outlook.com", "hotmail.com", "yahoo.com", "foxmail.com", "icloud.com", "protonmail.com", "github.com", "example.com", "test.com", "localhost", "anthropic.com", "openai.com"]
 SYSTEM_NAMES = ["shared", "local", "opt", "usr", "var", "tmp", "root", "runner", "node", "python", "lib", "bin", "etc", "home", "users", "public", "administrator", "default", "linuxbrew"]
 HIGH, MEDIUM = "high", "medium"
 
 
+def edged(pattern: str) -> str:
+    """pattern with \\b spelled out: Java's \\b takes a combining mark after a letter for part of a word. Where the first
+    character is known, it is looked at first."""
+    if pattern in FIRST:
+        pattern = f"(?={FIRST[pattern]})(?<!{WORD}){pattern[2:]}"
+    return pattern.replace(r"\b", f"(?:(?<!{WORD})(?={WORD})|(?<={WORD})(?!{WORD}))")
+
+
 def looks_like_real_key(body: Column) -> Column:
     """Long, not hyphenated lower-case words, at least 3.5 bits a character, with a capital or a digit."""
     return (F.length(body) >= 20) & ~body.rlike("^[a-z0-9]+(?:-[a-z0-9]+)+$") & (shannon_entropy(body) >= 3.5) & body.rlike("[A-Z0-9]")
@@ -68,12 +78,12 @@ def apply_rule(name: str, text: Column) -> tuple[Column, Column]:
         "generic_secret": (GENERIC_SECRET, "$1$2<REDACTED>"), "private_ip": (PRIVATE_IP, "<INTERNAL_IP>"), "internal_domain": (INTERNAL_DOMAIN, "<INTERNAL_DOMAIN>"), "phone_cn": (MOBILE, "<PHONE>"),
     }
     if name in plain:
-        pattern, new = plain[name]
+        pattern, new = edged(plain[name][0]), plain[name][1]
         return F.regexp_replace(text, pattern, new), F.regexp_count(text, F.lit(pattern))
     if name == "generic_sk_key":
-        return judged(text, GENERIC_KEY, lambda m: looks_like_real_key(F.regexp_extract(m, GENERIC_KEY, 1)), lambda m: F.lit("sk-<REDACTED>"))
+        return judged(text, edged(GENERIC_KEY), lambda m: looks_like_real_key(F.regexp_extract(m, GENERIC_KEY, 1)), lambda m: F.lit("sk-<REDACTED>"))
     if name == "email":
-        return judged(text, EMAIL, lambda m: ~F.lower(F.substring_index(m, "@", -1)).isin(PUBLIC_MAIL), lambda m: F.lit("<EMAIL>"))
+        return judged(text, edged(EMAIL), lambda m: ~F.lower(F.substring_index(m, "@", -1)).isin(PUBLIC_MAIL), lambda m: F.lit("<EMAIL>"))
     return redact_home_paths(text)
 
 

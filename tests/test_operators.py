@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from fractions import Fraction
 
 import pytest
@@ -123,6 +124,16 @@ def test_unknown_group_dimension_is_refused(spark):
         selection.top_groups(spark.createDataFrame([UNIT], UNIT_DDL), ["unit_id"])
 
 
+def test_redaction_beside_combining_marks(spark):
+    """Python's \\b takes no combining mark for part of a word, as the reference does; both of two neighbours go."""
+    letters = ["e\u0301", "\u0915\u094d", "\U0001e900\U0001e944", "\U0001d7d8", "x", "\u4e2d", "\u0301", ". "]
+    texts = [f"{x}{ip}{y} z" for ip in ("10.0.0.1", "AKIA" + "A1" * 8, "10.1.2.3 10.4.5.6") for x in letters for y in ("", "\u0301", "\U0001d7d8", "x", ",")]
+    want = [re.sub(redaction.AWS_KEY, "<AWS_KEY_REDACTED>", t) for t in texts]
+    want = [re.sub(redaction.PRIVATE_IP, "<INTERNAL_IP>", t) for t in want]
+    got = redaction.redact(spark.createDataFrame(list(enumerate(texts)), "id int, text string")).orderBy("id")
+    assert [r.text for r in got.collect()] == want
+
+
 def test_redaction_is_a_fixed_point(spark):
     texts = ["sk-a1B2c3D4e5F6g7H8i9J0k and sk-specific-scorer-registry", "/Users/someone/x /home/runner/x /Users/notes.txt", "curl -u user:pass12 http://x and --password=hunter2222", "127.0.0.1 10.0.0.1 a.local", "13812345678 213812345678", "A@Corp.example b@GMAIL.com", None, ""]
     once = redaction.redact(spark.createDataFrame([(t,) for t in texts], "text string"))
