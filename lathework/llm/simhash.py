@@ -32,6 +32,7 @@ from lathework.llm.line_dedup import hash_filters
 FULL = np.uint64(2**64 - 1)
 FEW = 192
 BUCKETS = 2**20
+FLUSH_KEYS = 1 << 17
 
 
 def masks(radius: int) -> list[np.uint64]:
@@ -261,27 +262,38 @@ def majority(h: np.ndarray, weight: np.ndarray | None = None) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
 
 
-def gram_hashes(text: bytes | None, words: int) -> np.ndarray:
-    """Hashes of the distinct shingles, sorted."""
-    grams = shingles(text, words)
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, len(grams)))
+def words_of(text: bytes | None) -> tuple[list[bytes], bytes]:
+    """The words and the key that texts of the same words share."""
+    w = (text or b"").lower().split()
+    return w, xxhash.xxh3_128_digest(b" ".join(w))
+
+
+def gram_hashes(w: list[bytes], words: int) -> np.ndarray:
+    """Hashes of the distinct shingles, sorted: of a shorter text, of all words together."""
+    digest = {x: xxhash.xxh64_intdigest(x) for x in set(w)}
+    of_word = np.fromiter(map(digest.__getitem__, w), np.uint64, len(w))
+    k = min(len(w), words)
+    h = np.zeros(len(w) - k + 1 if k else 0, np.uint64)
+    for i in range(k):
+        h = mixed(h + of_word[i : i + len(h)])
+    return np.unique(h)
 
 
 def sketch(text: bytes | None, words: int) -> tuple[int, int, int, bytes]:
     """Fingerprint of the words (weights: roots of counts), two halves of one of the shingles, key of the words."""
-    w = (text or b"").lower().split()
+    w, key = words_of(text)
     counts = Counter(w)
     h = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
     by_words = majority(h, np.sqrt(np.fromiter(counts.values(), float, len(counts))))
-    grams = gram_hashes(text, words)
-    return by_words, majority(grams), majority(mixed(grams)), xxhash.xxh3_128_digest(b" ".join(w))
+    grams = gram_hashes(w, words)
+    return by_words, majority(grams), majority(mixed(grams)), key
 
 
 def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random.Generator, gram_radius: int = 34, most: int = 6, whole: int = 32768) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidates (nodes) among rows of (word fingerprint, two halves of the shingle fingerprint, node): all pairs
     within both radii, found through the tree. Where a set that is not split further has over `most` of them a row, or
-    over `whole` rows, it is a crowd: its rows are linked to few near ones, which joins large groups of copies with few
-    candidates, and those that may have more are given as pairs with themselves, to be searched by their shingles."""
+    over `whole` rows, its rows are linked to few near ones, which joins large groups of copies with few candidates.
+    `unlinked_pairs` finds what is missing then."""
     if len(rows) < 2:
         return
 
@@ -318,91 +330,139 @@ def similar_links(rows: np.ndarray, part: np.uint64, radius: int, rng: np.random
             if len(i):
                 yield rows[i, 3], rows[j, 3]
             return
-    crowd = np.ones(len(rows), bool) if len(rows) > whole else np.zeros(len(rows), bool)
     left = np.arange(len(rows))
     while len(left):  # pivots, and of the rows far from all of them again
         pivots, rest = left[:FEW], left[FEW:]
         d = near(rows[pivots], rows[pivots])
         d[np.triu_indices(len(pivots))] = 999
         yield from nearest(rows[pivots], rows[pivots], d)
-        i, j = np.nonzero(d < 999)
-        crowd[pivots[i]] = crowd[pivots[j]] = True
         far = []
         for at in range(0, len(rest), 4096):
             block = rest[at : at + 4096]
             d = near(rows[block], rows[pivots])
             yield from nearest(rows[block], rows[pivots], d)
-            hit = d < 999
-            crowd[block[hit.any(1)]] = True
-            crowd[pivots[hit.any(0)]] = True
-            far.append(block[~hit.any(1)])
+            far.append(block[~(d < 999).any(1)])
         left = np.concatenate(far) if far else rest
-    some = rows[crowd, 3]
-    yield some, some
 
 
 def needed(size: int, share: float) -> int:
     return int(np.ceil(share * size - 1e-6))
 
 
-def crowd_pairs(members: DataFrame, similarity: float, rows: int, part: int = 2048, filter_bytes: int = 16 << 20) -> DataFrame:
-    """(u, v): all pairs of (node, label, grams) that differ in label and may have the similarity. Shingles are ordered
-    by their counts (in buckets), rarest first. Two sets that are similar share one of the first shingles, and at the
-    first of these enough shingles follow in both. Only first shingles that filters hold to be in several sets are
-    joined; those of many sets in parts."""
-    spark = members.sparkSession
+def gram_sets(source: DataFrame, wanted: DataFrame, words: int, filter_bytes: int = 64 << 20) -> DataFrame:
+    """(node, grams) for wanted (node, key). A filter of the wanted keys spares a shuffle of the texts."""
+    of_key = lambda keys: np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys))
+    twice = lambda batch: (of_key(batch.column(0).to_pylist()) for _ in range(2))
+    filters = source.sparkSession.sparkContext.broadcast(hash_filters(wanted.select("key").distinct(), twice, filter_bytes))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            texts = batch.column(0).cast(pa.binary())
+            keys = [words_of(x.as_py())[1] for x in texts]
+            keep = filters.value.may_repeat(of_key(keys)).tolist()
+            at = {k: i for i, (k, fine) in enumerate(zip(keys, keep, strict=True)) if fine and k not in seen}
+            if len(seen) < FLUSH_KEYS:
+                seen.update(at)
+            grams = [gram_hashes(words_of(texts[i].as_py())[0], words).tobytes() for i in at.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.binary()), pa.array(grams, pa.binary())], ["key", "grams"])
+
+    return source.select("text").mapInArrow(hashed, "key binary, grams binary").join(wanted, "key").dropDuplicates(["node"]).select("node", "grams")
+
+
+def shingle_counts(source: DataFrame, words: int, slices: int = 64) -> np.ndarray:
+    """How many texts of source have a shingle of each bucket."""
+    share = BUCKETS // slices
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            grams = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
-            seen += np.bincount((grams % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at])], ["bucket", "n"])
-
-    counts = members.select("grams").mapInArrow(counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    often = np.zeros(BUCKETS, np.uint32)
-    often[counts["bucket"].to_numpy()] = np.minimum(counts["n"].to_numpy(), 2**32 - 1)
-    common = spark.sparkContext.broadcast(often)
-
-    def first_grams(data: bytes) -> tuple[np.ndarray, int]:
-        grams = np.frombuffer(data, np.uint64)
+            for x in batch.column(0).cast(pa.binary()):
+                np.add.at(seen, (gram_hashes(words_of(x.as_py())[0], words) % np.uint64(BUCKETS)).astype(np.int64), 1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int64()), pa.array([seen[i * share : (i + 1) * share].tobytes() for i in range(slices)], pa.binary())], ["slice", "counts"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[i] = total.get(i, 0) + np.frombuffer(data, np.int64)
+        found = [np.minimum(x, 2**32 - 1).astype(np.uint32).tobytes() for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(found, pa.binary())], ["slice", "counts"])
+
+    sent = source.select("text").mapInArrow(counted, "slice long, counts binary").repartition(min(slices, partitions(source.sparkSession)), "slice")
+    out = np.zeros(BUCKETS, np.uint32)
+    for r in sent.mapInArrow(added, "slice long, counts binary").collect():
+        out[r.slice * share : (r.slice + 1) * share] = np.frombuffer(r.counts, np.uint32)
+    return out
+
+
+def unlinked_pairs(source: DataFrame, labelled: DataFrame, words: int, similarity: float, rows: int, part: int = 2048, filter_bytes: int = 64 << 20) -> DataFrame:
+    """(u, v): all pairs of labelled (key, node, label) that differ in label and may have the similarity, whatever their
+    fingerprints. Shingles are ordered by their counts (in buckets), rarest first. Two sets that are similar share one of
+    the first shingles, and at the first of these enough shingles follow in both. Only first shingles that filters hold
+    to be in several texts are joined; those of many sets in parts."""
+    spark = source.sparkSession
+    common = spark.sparkContext.broadcast(shingle_counts(source, words))
+
+    def first_grams(w: list[bytes]) -> tuple[np.ndarray, int]:
+        grams = gram_hashes(w, words)
         n = common.value[grams % np.uint64(BUCKETS)]
         return grams[np.lexsort((grams, n))[: len(grams) - needed(len(grams), similarity) + 1]], len(grams)
 
-    filters = spark.sparkContext.broadcast(hash_filters(members.select("grams"), lambda batch: (mixed(first_grams(x)[0]) for x in batch.column(0).to_pylist()), filter_bytes))
+    def of_texts(batch: pa.RecordBatch, seen: set[bytes]) -> Iterator[tuple[bytes, np.ndarray, int]]:
+        for x in batch.column(0).cast(pa.binary()):
+            w, key = words_of(x.as_py())
+            if w and key not in seen:
+                if len(seen) < FLUSH_KEYS:
+                    seen.add(key)
+                yield key, *first_grams(w)
+
+    texts = source.select("text")
+    filters = spark.sparkContext.broadcast(hash_filters(texts, lambda batch: (mixed(grams) for _, grams, _ in of_texts(batch, set())), filter_bytes))
 
     def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            found = list(of_texts(batch, seen))
+            ends = np.cumsum([0, *(len(grams) for _, grams, _ in found)])
+            keep = filters.value.may_repeat(mixed(np.concatenate([grams for _, grams, _ in found]))) if found else []
+            out = []
+            for (key, grams, size), a, z in zip(found, ends, ends[1:], strict=False):
+                at = np.flatnonzero(keep[a:z])
+                if len(at):
+                    out.append((key, size, grams[at].tobytes(), at.astype(np.int32).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.int32(), pa.binary(), pa.binary()))], ["key", "size", "grams", "at"])
+
+    held = texts.mapInArrow(firsts, "key binary, size int, grams binary, at binary").dropDuplicates(["key"])
+    held = written(held.join(labelled, "key").select("node", "label", "size", "grams", "at"), "first-shingles")
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [first_grams(x) for x in batch.column(2).to_pylist()]
-            n = np.array([len(g) for g, _ in found], np.int64)
-            size = np.repeat(np.array([s for _, s in found], np.int64), n)
-            early = np.repeat(np.array([s - needed(s, 2 * similarity / (1 + similarity)) + 1 for _, s in found], np.int64), n)
-            of = np.repeat(np.arange(len(found)), n)
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            grams = np.concatenate([g for g, _ in found] or [np.zeros(0, np.uint64)])
-            keep = filters.value.may_repeat(mixed(grams))
-            own = pa.array(of[keep])
-            columns = [grams[keep].view(np.int64), at[keep].astype(np.int32), size[keep].astype(np.int32), (at < early)[keep]]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), *map(pa.array, columns)], ["node", "label", "gram", "at", "size", "early"])
-
-    first = written(members.select("node", "label", "grams").mapInArrow(firsts, "node long, label long, gram long, at int, size int, early boolean"), "first-shingles")
+            node, label, size = (np.asarray(batch.column(i)) for i in range(3))
+            grams, at = (batch.column(i).to_pylist() for i in (3, 4))
+            of = np.repeat(np.arange(len(node)), [len(x) // 8 for x in grams])
+            place = np.frombuffer(b"".join(at), np.int32)
+            early = np.array([s - needed(s, 2 * similarity / (1 + similarity)) + 1 for s in size.tolist()], np.int64)
+            columns = [node[of], label[of], np.frombuffer(b"".join(grams), np.int64), place, size[of], place < early[of]]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["node", "label", "gram", "at", "size", "early"])
+
+    first = held.mapInArrow(opened, "node long, label long, gram long, at int, size int, early boolean")
     shared = first.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    shared = written(shared.select("gram", F.ceil(F.col("n") / part).alias("parts")), "shared-shingles", rows)
-    first = first.join(shared, "gram")
+    shared = written(shared.select("gram", F.ceil(F.col("n") / part).alias("parts")), "shared-shingles")
+    first = written(first.join(shared, "gram"), "joined-shingles")
     a = first.where("early").withColumn("part", F.pmod("node", "parts")).alias("a")
     b = first.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).alias("b")
     shorter = "a.label <> b.label AND (a.size < b.size OR a.size = b.size AND a.node < b.node)"
     enough = f"least(a.size - a.at, b.size - b.at) >= {similarity / (1 + similarity)!r} * (a.size + b.size) - 1e-6"
     found = a.join(b, F.expr(f"a.gram = b.gram AND a.part = b.part AND {shorter} AND {enough}"))
-    return written(found.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct(), "crowd-candidates", rows)
+    return written(found.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct(), "unlinked-candidates", rows)
 
 
 def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, radius: int = 9) -> DataFrame:
     """(id, text_hash, group): group is the smallest id reached by links of at least this Jaccard similarity of
-    distinct word shingles. Equal word sequences are one class. Candidates are classes whose word fingerprints are
-    within the radius (found through the trees) and whose shingle fingerprints are near; every one is verified. In
-    crowds, candidates are then all classes that are not linked yet and share enough shingles."""
+    distinct word shingles, all of them. Equal word sequences are one class. Candidates are classes whose word
+    fingerprints are within the radius (found through the trees) and whose shingle fingerprints are near; then all
+    classes that are not linked yet and share enough shingles. Every one is verified."""
     source = docs.select(null_first(F.col(id).cast("long")).alias("id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     small_batches(docs.sparkSession)
 
@@ -414,23 +474,11 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
 
     rows = written(source.mapInArrow(sketched, "id long, text_hash long, fp long, gram0 long, gram1 long, key binary"), "sketches")
     n = rows.count()
-    own = F.min(F.struct("id", "text_hash", "fp", "gram0", "gram1")).alias("m")  # a class shares its fingerprints
-    classes = rows.groupBy("key").agg(own).select("key", F.col("m.id").alias("rep"), F.col("m.text_hash").alias("rep_hash"), "m.fp", "m.gram0", "m.gram1")
+    own = F.min(F.struct("id", "fp", "gram0", "gram1")).alias("m")  # a class shares its fingerprints
+    classes = rows.groupBy("key").agg(own).select("key", F.col("m.id").alias("rep"), "m.fp", "m.gram0", "m.gram1")
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes", n)  # numbers that stay, as they are written
     found = search_shards(classes, ["fp", "gram0", "gram1", "node"], radius, similar_links)
-    found = written(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "candidates", 4 * n)
-    pairs, crowd = found.where("u <> v"), found.where("u = v").select(F.col("u").alias("node"))
-    n_pairs, n_crowd = pairs.count(), crowd.count()
-    named = classes.select("node", "rep", "rep_hash")
-    wanted = found.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named, "node")
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [gram_hashes(x.as_py(), words).tobytes() for x in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "grams"])
-
-    texts = source.join(wanted, (source["id"] == wanted["rep"]) & (source["text_hash"] == wanted["rep_hash"])).select("node", "text")
-    sets = written(texts.mapInArrow(hashed, "node long, grams binary").dropDuplicates(["node"]), "shingle-sets", 20 * n_pairs + n_crowd)
+    pairs = written(found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "candidates", 4 * n)
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -442,18 +490,18 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
             yield batch.select(["u", "v"]).filter(pa.array(fine, pa.bool_()))
 
     def similar(pairs: DataFrame, rows: int) -> DataFrame:
+        wanted = pairs.select(F.col("u").alias("node")).distinct().union(pairs.select("v").distinct()).distinct().join(classes.select("node", "key"), "node")
+        sets = written(gram_sets(source, wanted, words), "shingle-sets", 20 * rows)
         joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
         return written(joined.select("u", "v", "a", "b").mapInArrow(verified, "u long, v long"), "similar-pairs", 20 * rows)  # sets are long
 
+    n_pairs = pairs.count()
     edges = similar(pairs, n_pairs)
     labels = components(edges, n_pairs)
-    if n_crowd:
-        members = sets.join(crowd, "node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "grams")
-        more = crowd_pairs(members, similarity, 4 * n)
-        n_more = more.count()
-        if n_more:
-            labels = components(edges.unionByName(similar(more, n_more)), n_pairs + n_more)
-    linked = written(labels.join(named, "node"), "linked-classes", n)
+    more = unlinked_pairs(source, classes.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label")), words, similarity, 4 * n)
+    if n_more := more.count():
+        labels = components(edges.unionByName(similar(more, n_more)), n_pairs + n_more)
+    linked = written(labels.join(classes.select("node", "rep"), "node"), "linked-classes", n)
     least = written(linked.groupBy("label").agg(F.min("rep").alias("group")), "groups", n)
     of_node = linked.join(least, "label").select("node", "group")
     of_class = written(classes.select("key", "rep", "node").join(of_node, "node", "left").select("key", F.coalesce("group", "rep").alias("group")), "class-groups", n)

@@ -154,6 +154,19 @@ def test_near_duplicates_in_a_dense_leaf(spark):
     assert {(r.id, r.group) for r in near_duplicate_groups(frame(spark, rows)).collect()} == want
 
 
+def test_near_duplicates_whose_fingerprints_are_far_apart(spark):
+    """Pairs of the similarity and no copies: a block that repeats one word, or a few long runs, moves the fingerprint of
+    words out of the trees' reach while few distinct shingles differ."""
+    r = random.Random(2)
+    rows = []
+    for i in range(40):
+        base = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        rows += [(2 * i, " ".join(base), "x", "y"), (2 * i + 1, " ".join(base + [f"q{i}"] * 4000), "x", "y")]
+    want = groups_by_brute_force(rows)
+    assert {g for _, g in want} == set(range(0, 80, 2))
+    assert {(x.id, x.group) for x in near_duplicate_groups(frame(spark, rows)).collect()} == want
+
+
 def test_near_duplicates_in_a_large_group_of_near_copies(spark):
     r = random.Random(3)
     base = [f"w{r.randrange(5000)}" for _ in range(200)]
@@ -174,6 +187,12 @@ def test_near_duplicates_on_the_test_tables(spark):
     assert len(found & want) >= 0.99 * len(want)
 
 
+def test_near_duplicates_on_the_test_tables_are_all_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    want = groups_by_brute_force([(i, t or "", "x", "y") for i, t in docs.collect()])
+    assert {(x.id, x.group) for x in near_duplicate_groups(docs).collect()} == want
+
+
 # 7
 
 
