@@ -5,6 +5,7 @@ import random
 import re
 from fractions import Fraction
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,6 +15,7 @@ from lathework import schema
 from lathework.functions import redaction, stats
 from lathework.functions import text as X
 from lathework.operators import batches, gates, joins, labels, rebuild, selection, sessions, trials
+from lathework.plans import ORACLES, QUERIES
 
 SESSION = {"sid": "s", "steps": 20, "tool_call_count": 10, "total_tokens": 50_000, "exit_status": "success", "excluded_hit": False}
 SESSION_DDL = "sid string, steps long, tool_call_count long, total_tokens long, exit_status string, excluded_hit boolean"
@@ -301,3 +303,14 @@ def test_regression_candidates_against_all_pairs(spark):
         want += [(task, p, t, -n, i + 1) for i, (t, n, p) in enumerate(best)]
     got = batches.regression_candidates(spark.createDataFrame(list(tests.items()), "path string, tests int"), spark.createDataFrame(touched, "task string, path string"), 6)
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+@pytest.mark.parametrize("name", ["ag08_redaction_types", "re09_private_ip"])
+def test_redaction_queries_beside_combining_marks(spark, tmp_path, name):
+    texts = ["e\u0301" + "10.0.0.1 x", "10.0.0.1\u0301 x", "\u0915\u094d172.16.0.1", "a10.0.0.1", "192.168.1.1, then 10.0.0.2", None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", F.lit("en")).toPandas().to_parquet(tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet'")
+    want = con.execute(ORACLES[name])
+    got = QUERIES[name](spark, str(tmp_path)).select(*(d[0] for d in want.description))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.fetchall())
