@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import fresh, null_first, partitions, small_batches, written
+from lathework.llm.common import fresh, given_back, null_first, partitions, small_batches, written
 
 FLUSH = 1 << 20
 PROBES = 4
@@ -167,8 +167,8 @@ def hash_filters(source: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterat
         if blobs:
             yield close(bucket, blobs, again)
 
-    sent = source.mapInArrow(hashed, "bucket long, seen binary, again binary")
-    rows = sent.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(reduced, "bucket long, bits long, data binary").collect()
+    sent = source.mapInArrow(given_back(hashed), "bucket long, seen binary, again binary")
+    rows = sent.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(given_back(reduced), "bucket long, bits long, data binary").collect()
     return HashFilters(buckets, [(r.bucket, r.bits, bytes(r.data)) for r in rows])
 
 
@@ -201,7 +201,7 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
             ids = np.repeat(np.arange(len(found)), [len(x) for x in found])
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids)), pa.array([k.decode("utf-8", "replace") for x in found for k in x], pa.string())], ["id", "key"])
 
-    pairs = docs.select(null_first(F.col(id).cast("long")).alias("id"), text).mapInArrow(suspected, "id long, key string")
+    pairs = docs.select(null_first(F.col(id).cast("long")).alias("id"), text).mapInArrow(given_back(suspected), "id long, key string")
     pairs = written(pairs.groupBy("id", "key").agg(F.lit(1).alias("one")).select("id", "key"), "line-suspects")
     confirmed = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
     confirmed = written(confirmed.select("key", "keeper"), "repeated-lines", pairs.count())  # so that the next join shuffles both sides and AQE can split a hot key
@@ -239,6 +239,6 @@ def drop_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([columns[c] for c in [*names, "n_lines", "n_dropped"]], [*names, "n_lines", "n_dropped"])
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in docs.schema] + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    clean = docs.mapInArrow(split(False), schema)
-    mixed = docs.mapInArrow(split(True), schema).withColumn(own_id, null_first(F.col(id).cast("long"))).join(losses, own_id, "left").drop(own_id)
-    return clean.unionByName(mixed.mapInArrow(removed, schema))
+    clean = docs.mapInArrow(given_back(split(False)), schema)
+    mixed = docs.mapInArrow(given_back(split(True)), schema).withColumn(own_id, null_first(F.col(id).cast("long"))).join(losses, own_id, "left").drop(own_id)
+    return clean.unionByName(mixed.mapInArrow(given_back(removed), schema))

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lathework.llm.common import small_batches
+from lathework.llm.common import given_back, small_batches
 
 Piece = tuple[int, int, int]  # document, start, length
 RUN = 2048
@@ -230,4 +230,4 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, id: str = "doc_id", t
         if tokens:
             yield from flush()
 
-    return docs.mapInArrow(run, T.StructType([docs.schema[id], *(T.StructField(k, t) for k, t in types.items())]))
+    return docs.mapInArrow(given_back(run), T.StructType([docs.schema[id], *(T.StructField(k, t) for k, t in types.items())]))

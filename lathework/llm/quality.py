@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import small_batches
+from lathework.llm.common import given_back, small_batches
 
 FEATURES = 16
 SEEN = 14
@@ -335,7 +335,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id: str, text: str, sample:
 
     keyed = docs.select(F.col(id).cast("string").alias("key"), F.col(text).alias("text"))
     keyed = keyed.join(F.broadcast(wanted), "key").groupBy("key", "quality").agg(F.min("text").alias("text"))
-    rows = keyed.mapInArrow(features, "key string, chain int, q int, x binary, w binary, before boolean, after boolean").collect()
+    rows = keyed.mapInArrow(given_back(features), "key string, chain int, q int, x binary, w binary, before boolean, after boolean").collect()
     rows.sort(key=lambda r: (r.key, r.chain))
     number = {k: i for i, k in enumerate(sorted({r.key for r in rows}))}
     return QualityModel.fitted([Chain(number[r.key], r.q, np.frombuffer(r.x, np.float32).reshape(-1, FEATURES), np.frombuffer(r.w, np.float64), r.before, r.after) for r in rows], counts)
@@ -361,4 +361,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
             p = np.concatenate([model.value.scores(texts[i : i + 256]) for i in range(0, len(texts), 256)] or [np.zeros(0)])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= threshold).astype(np.int32))], [*batch.schema.names, "score", "predicted"])
 
-    return docs.mapInArrow(scored, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
+    return docs.mapInArrow(given_back(scored), T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import fresh, null_first, partitions, small_batches, written
+from lathework.llm.common import fresh, given_back, null_first, partitions, small_batches, written
 from lathework.llm.components import components
 from lathework.llm.line_dedup import hash_filters
 
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, id: str, text: str, words: int, seeds: tuple[i
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, i]) for i in range(len(seeds)))], ["id", *names])
 
     source = docs.select(F.col(id).alias("id"), text)
-    return source.mapInArrow(run, T.StructType([source.schema["id"], *(T.StructField(n, T.LongType()) for n in names)]))
+    return source.mapInArrow(given_back(run), T.StructType([source.schema["id"], *(T.StructField(n, T.LongType()) for n in names)]))
 
 
 class Node:
@@ -217,8 +217,8 @@ def search_shards(rows: DataFrame, columns: list[str], radius: int, search: Sear
         if blobs:
             yield from close(tree, blobs)
 
-    dealt = rows.mapInArrow(sent, "shard long, tree long, data binary").repartition(partitions(spark), "shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(searched, "u long, v long")
+    dealt = rows.mapInArrow(given_back(sent), "shard long, tree long, data binary").repartition(partitions(spark), "shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(given_back(searched), "u long, v long")
 
 
 def close_pairs(distinct: DataFrame, column: str, radius: int = 3) -> DataFrame:
@@ -367,7 +367,7 @@ def gram_sets(source: DataFrame, wanted: DataFrame, words: int, filter_bytes: in
             grams = [gram_hashes(words_of(texts[i].as_py())[0], words).tobytes() for i in at.values()]
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.binary()), pa.array(grams, pa.binary())], ["key", "grams"])
 
-    return source.select("text").mapInArrow(hashed, "key binary, grams binary").join(wanted, "key").dropDuplicates(["node"]).select("node", "grams")
+    return source.select("text").mapInArrow(given_back(hashed), "key binary, grams binary").join(wanted, "key").dropDuplicates(["node"]).select("node", "grams")
 
 
 def shingle_counts(source: DataFrame, words: int, slices: int = 64) -> np.ndarray:
@@ -389,9 +389,9 @@ def shingle_counts(source: DataFrame, words: int, slices: int = 64) -> np.ndarra
         found = [np.minimum(x, 2**32 - 1).astype(np.uint32).tobytes() for x in total.values()]
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.int64()), pa.array(found, pa.binary())], ["slice", "counts"])
 
-    sent = source.select("text").mapInArrow(counted, "slice long, counts binary").repartition(min(slices, partitions(source.sparkSession)), "slice")
+    sent = source.select("text").mapInArrow(given_back(counted), "slice long, counts binary").repartition(min(slices, partitions(source.sparkSession)), "slice")
     out = np.zeros(BUCKETS, np.uint32)
-    for r in sent.mapInArrow(added, "slice long, counts binary").collect():
+    for r in sent.mapInArrow(given_back(added), "slice long, counts binary").collect():
         out[r.slice * share : (r.slice + 1) * share] = np.frombuffer(r.counts, np.uint32)
     return out
 
@@ -433,7 +433,7 @@ def unlinked_pairs(source: DataFrame, labelled: DataFrame, words: int, similarit
                     out.append((key, size, grams[at].tobytes(), at.astype(np.int32).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.binary(), pa.int32(), pa.binary(), pa.binary()))], ["key", "size", "grams", "at"])
 
-    held = texts.mapInArrow(firsts, "key binary, size int, grams binary, at binary").dropDuplicates(["key"])
+    held = texts.mapInArrow(given_back(firsts), "key binary, size int, grams binary, at binary").dropDuplicates(["key"])
     held = written(held.join(labelled, "key").select("node", "label", "size", "grams", "at"), "first-shingles")
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -446,7 +446,7 @@ def unlinked_pairs(source: DataFrame, labelled: DataFrame, words: int, similarit
             columns = [node[of], label[of], np.frombuffer(b"".join(grams), np.int64), place, size[of], place < early[of]]
             yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["node", "label", "gram", "at", "size", "early"])
 
-    first = held.mapInArrow(opened, "node long, label long, gram long, at int, size int, early boolean")
+    first = held.mapInArrow(given_back(opened), "node long, label long, gram long, at int, size int, early boolean")
     shared = first.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     shared = written(shared.select("gram", F.ceil(F.col("n") / part).alias("parts")), "shared-shingles")
     first = written(first.join(shared, "gram"), "joined-shingles")
@@ -472,7 +472,7 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
             fps = np.array([f[:3] for f in found], np.uint64).reshape(-1, 3).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(fps[:, i]) for i in range(3)), pa.array([f[3] for f in found], pa.binary())], ["id", "text_hash", "fp", "gram0", "gram1", "key"])
 
-    rows = written(source.mapInArrow(sketched, "id long, text_hash long, fp long, gram0 long, gram1 long, key binary"), "sketches")
+    rows = written(source.mapInArrow(given_back(sketched), "id long, text_hash long, fp long, gram0 long, gram1 long, key binary"), "sketches")
     n = rows.count()
     own = F.min(F.struct("id", "fp", "gram0", "gram1")).alias("m")  # a class shares its fingerprints
     classes = rows.groupBy("key").agg(own).select("key", F.col("m.id").alias("rep"), "m.fp", "m.gram0", "m.gram1")
@@ -493,7 +493,7 @@ def near_duplicate_groups(docs: DataFrame, id: str = "doc_id", text: str = "text
         wanted = pairs.select(F.col("u").alias("node")).distinct().union(pairs.select("v").distinct()).distinct().join(classes.select("node", "key"), "node")
         sets = written(gram_sets(source, wanted, words), "shingle-sets", 20 * rows)
         joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
-        return written(joined.select("u", "v", "a", "b").mapInArrow(verified, "u long, v long"), "similar-pairs", 20 * rows)  # sets are long
+        return written(joined.select("u", "v", "a", "b").mapInArrow(given_back(verified), "u long, v long"), "similar-pairs", 20 * rows)  # sets are long
 
     n_pairs = pairs.count()
     edges = similar(pairs, n_pairs)

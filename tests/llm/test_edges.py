@@ -1,21 +1,24 @@
 """Every operator on tables with nulls, ties, long texts and repeats, on empty tables, and with clashing columns."""
 
+import ctypes
 import hashlib
 import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lathework.llm import katz, quality
+from lathework.llm import common, katz, quality
 from lathework.llm.boosting import BoostedTrees
 from lathework.llm.decontaminate import contaminated, drop_contaminated, overlap
 from lathework.llm.hamming import Shard, top_k
@@ -38,6 +41,48 @@ def collected(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def worker_memory(spark, trim):
+    """MB of the largest of the Python workers, of which every one gets a task."""
+
+    def told(batches):
+        time.sleep(1)
+        if trim:
+            pa.default_memory_pool().release_unused()
+            ctypes.CDLL(None).malloc_trim(0)
+        with open("/proc/self/status") as f:
+            kb = int(re.search(r"RssAnon:\s+(\d+)", f.read())[1])
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([kb / 1024])], ["mb"])
+
+    return spark.range(0, 4, 1, 4).mapInArrow(told, "mb double").agg(F.max("mb")).first()[0]
+
+
+def test_workers_give_back_what_a_task_freed(spark):
+    text = F.concat_ws("\n", *(F.concat(F.lit(f"line {j} of a text like no other, which is "), "doc_id") for j in range(40)))
+    docs = spark.range(0, 80_000, 1, 4).select(F.col("id").alias("doc_id")).withColumn("text", text)
+    drop_repeated_lines(docs.limit(1)).count()  # what is imported and kept once
+    before = worker_memory(spark, trim=True)
+    assert drop_repeated_lines(docs).where("n_dropped = 0").count() == 80_000
+    assert worker_memory(spark, trim=False) < before + 40
+
+
+def test_what_a_task_freed_goes_back_to_the_system():
+    def resident():
+        with open("/proc/self/status") as f:
+            return int(re.search(r"RssAnon:\s+(\d+)", f.read())[1]) / 1024
+
+    def run(batches):
+        parts = [np.ones(8000) for _ in range(4000)]
+        last.append(parts[-1])  # what lies below it stays with the process
+        del parts
+        yield from batches
+
+    last, before = [], resident()
+    assert list(run(iter([1, 2]))) == [1, 2] and resident() > before + 150
+    assert list(common.given_back(run)(iter([1, 2]))) == [1, 2] and resident() < before + 50
+
+
 # 10
 
 
