@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lathework.llm.common import null_first, partitions, small_batches, written
+from lathework.llm.common import given_back, null_first, partitions, small_batches, written
 
 TABLE = np.random.default_rng(50).integers(0, 2**64, 256, np.uint64, endpoint=False)
 BASE = 0x100000001B3
@@ -285,7 +285,7 @@ def chunked(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
             yield flush()
 
     fields = [("chunk", T.LongType()), ("data", T.BinaryType()), ("sizes", T.ArrayType(T.LongType())), ("ranks", T.ArrayType(T.LongType())), ("ids", T.ArrayType(key))]
-    return source.mapInArrow(run, T.StructType([T.StructField(*f) for f in fields]))
+    return source.mapInArrow(given_back(run), T.StructType([T.StructField(*f) for f in fields]))
 
 
 def opened(data: bytes) -> np.ndarray:
@@ -377,6 +377,7 @@ def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
     total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = 1 << max(4, (max(2 * width, total // bucket_bytes) - 1).bit_length())
     tasks = min(buckets, max(width, buckets // 4))
+    files = max(1, tasks // 16)  # answers are small beside what they are made from
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -476,16 +477,16 @@ def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
             columns = list(zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(ids, key_type), *(pa.array(c, t) for c, t in zip(columns, arrow_types, strict=True))], names)
 
-    requests = chunks.select("chunk", "data", "sizes", "ranks").mapInArrow(asked, ROW_SQL)
+    requests = chunks.select("chunk", "data", "sizes", "ranks").mapInArrow(given_back(asked), ROW_SQL)
     dealt = requests.select("bucket", "chunk", "data").repartition(tasks, "bucket").sortWithinPartitions("bucket", "chunk")
-    replies = written(dealt.mapInArrow(judged, ROW_SQL), "repeat-verdicts")
+    replies = written(dealt.mapInArrow(given_back(judged), ROW_SQL).repartition(files), "repeat-verdicts")
     texts = chunks.select("chunk", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("bucket"), "data", "sizes", "ranks", "ids")
     nothing = [F.lit(None).cast(texts.schema[c].dataType).alias(c) for c in ("sizes", "ranks", "ids")]
     both = texts.unionByName(replies.select("chunk", "kind", "bucket", "data", *nothing)).repartition(width, "chunk").sortWithinPartitions("chunk", "kind", "bucket")
-    around = both.mapInArrow(settled, ROW_SQL)
+    around = both.mapInArrow(given_back(settled), ROW_SQL)
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("chunk"), F.lit(buckets))).otherwise(F.col("bucket")).alias("bucket")
     grouped = around.select(spread, "kind", "chunk", "data").repartition(tasks, "bucket").sortWithinPartitions("bucket", "chunk")
-    spans = written(grouped.mapInArrow(searched, ROW_SQL), "repeat-spans")
+    spans = written(grouped.mapInArrow(given_back(searched), ROW_SQL).repartition(files), "repeat-spans")
     final = texts.unionByName(spans.select("chunk", "kind", "bucket", "data", *nothing)).repartition(width, "chunk").sortWithinPartitions("chunk", "kind", "bucket")
     key = docs.schema[id].dataType
     key_type = pa.int64() if isinstance(key, T.LongType) else pa.int32()
@@ -493,4 +494,4 @@ def drop_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
     fields += [("kept", T.BinaryType()), ("starts", T.ArrayType(T.LongType())), ("stops", T.ArrayType(T.LongType()))] if with_text else []
     arrow_types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())][: len(fields)]
     names = [id, *(n for n, _ in fields)]
-    return final.mapInArrow(cut, T.StructType([T.StructField(id, key), *(T.StructField(n, t) for n, t in fields)]))
+    return final.mapInArrow(given_back(cut), T.StructType([T.StructField(id, key), *(T.StructField(n, t) for n, t in fields)]))

@@ -326,6 +326,13 @@ def test_repeats_with_text(spark):
     assert bytes(r.kept) == b"" and r.starts == [0] and r.stops == [len(text)]
 
 
+def test_repeats_write_their_answers_to_few_files(spark, monkeypatch):
+    monkeypatch.setattr(common, "MADE", [])
+    assert drop_repeats(frame(spark)).where("n_removed > 0").count()
+    files = {p.rsplit("/", 1)[1].rsplit("-", 1)[0]: len(spark.read.parquet(p).inputFiles()) for p in common.MADE}
+    assert files == {"repeat-chunks": 3, "repeat-verdicts": 1, "repeat-spans": 1}
+
+
 def test_interval_tree_gives_all_maximal_repeats():
     texts = [b"xabcdeyabcdz", b"abcdeq", b"bcd"]
     found = {(texts[g[0][0]][g[0][1] : g[0][1] + n], tuple(g)) for n, g in maximal_repeats(texts, 3)}
